@@ -147,7 +147,7 @@ def near_links(fps: DataFrame, distance: int = 3, group: int = GROUP) -> DataFra
         heavy = stage(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > group), "simhash-heavy")
         hot = [r["mask"] & _ALL for r in heavy.select("mask").distinct().collect()]  # masks, a handful by construction
         light = keyed.join(heavy, ["mask", "key"], "left_anti") if hot else keyed
-        links = light.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_links_in(distance), "u long, v long")
+        links = light.select("mask", "key", "fp").repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_links_in(distance), "u long, v long")
         found = links if found is None else found.unionByName(links)
         if not hot:
             return found

@@ -151,10 +151,8 @@ def near_links(fps: DataFrame, distance: int = 3, group: int = GROUP) -> DataFra
         found = links if found is None else found.unionByName(links)
         if not hot:
             return found
-        more = [keyed.where(F.col("mask") == _signed(m)).join(heavy, ["mask", "key"], "left_semi").select("fp", _keys(_split(m, parts))).select("fp", "k.mask", "k.key") for m in hot]
-        rows = more[0]
-        for x in more[1:]:
-            rows = rows.unionByName(x)
+        subs = fps.sparkSession.createDataFrame([(_signed(m), _signed(x)) for m in hot for x in _split(m, parts)], "mask long, sub long")
+        rows = keyed.join(heavy, ["mask", "key"], "left_semi").join(F.broadcast(subs), "mask").select("fp", F.col("sub").alias("mask"), F.col("fp").bitwiseAND(F.col("sub")).alias("key"))
         rows = stage(rows, "simhash-split")
 
 

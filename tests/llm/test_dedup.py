@@ -105,7 +105,7 @@ def test_split_blocks_lose_no_link(spark):
     fps = sorted({b ^ (1 << int(x)) ^ (1 << int(y)) for b in base for x, y in rng.integers(0, 62, (12, 2))} | set(base))
     df = spark.createDataFrame([(f,) for f in fps], "fp long")
     want = simhash.near_links(df, 3, group=10_000)
-    got = simhash.near_links(df, 3, group=8)
+    got = simhash.near_links(df, 3, group=64)
     comp = lambda e: {r.node: r.root for r in graph.connected_components(e).collect()}
     brute = {(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3}
     root = {f: f for f in fps}

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
+from . import exact_dedup, langid, licenses, quality, secrets, simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,12 +16,58 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    starts = F.transform("places", lambda p: p["start"])
+    joined = lambda names: F.array_join(F.array_sort(F.array_distinct(names)), ",")
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(F.transform("places", lambda p: p["label"])).alias("base_labels"), joined(F.map_keys("labels")).alias("labels"),
+        F.coalesce(F.array_max(F.map_values("labels")), F.lit(0.0)).alias("score"),
+    )
+
+
+def _remainder(name: str, parts: int):
+    """crc32 of the id as text, modulo ``parts``; null for a null id."""
+    return F.pmod(F.crc32(F.col(name).cast("string").cast("binary")), F.lit(parts))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    profiles = langid.fit_profiles(docs.where(_remainder("doc_id", 4) != 2))
+    return langid.identify(docs.select("doc_id", "text"), profiles).select("doc_id", F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"), lambda c: F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(5)) != 0)
+    return quality.score(docs, model).select("doc_id", F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_digest(_table(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("secrets", lambda s: s["kind"].isin(*secrets.BASE))
+    return found.select("doc_id", *(count(k) for k in secrets.BASE), F.sha2(text(base), 256).alias("base_sha256"), text("secrets").alias("spans"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_license_scan": op2_license_scan,
+    "op4_language_id": op4_language_id,
+    "op5_quality": op5_quality,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op8_secret_scan": op8_secret_scan,
     "op10_simhash": op10_simhash,
 }
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, licenses, quality, secrets, simhash, substrings
+from . import decontaminate, exact_dedup, langid, licenses, lines, packing, quality, secrets, simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,11 @@ def _remainder(name: str, parts: int):
     return F.pmod(F.crc32(F.col(name).cast("string").cast("binary")), F.lit(parts))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.remove_shared_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "partners", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     profiles = langid.fit_profiles(docs.where(_remainder("doc_id", 4) != 2))
@@ -49,6 +54,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_digest(_table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -57,6 +66,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(count(k) for k in secrets.BASE), F.sha2(text(base), 256).alias("base_sha256"), text("secrets").alias("spans"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.withColumn("items", F.array_join("items", ","))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(_table(spark, sf_dir, "documents"))
 
@@ -64,14 +78,95 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_license_scan": op2_license_scan,
+    "op3_line_dedup": op3_line_dedup,
     "op4_language_id": op4_language_id,
     "op5_quality": op5_quality,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_packing": op7_packing,
     "op8_secret_scan": op8_secret_scan,
+    "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
 }
 
+
+def _packing_sql() -> str:
+    """The dynamic program unrolled, one common table a bucket; ties go to the lowest bound, as in the operator."""
+    m, s, k, budget = packing.MAX_TOKENS, packing.STEP, packing.BUCKETS, packing.BUDGET
+    steps = "\n".join(
+        f"c{i} AS (SELECT j, min(cost * 100000 + i) AS best FROM (SELECT b.j, a.j AS i, a.cost + (b.below - a.below) * b.j AS cost FROM d{i - 1} a JOIN bins b ON a.j <= b.j) GROUP BY j),\n"
+        f"d{i} AS (SELECT c.j, c.best // 100000 AS cost, c.best % 100000 AS back, bins.below FROM c{i} c JOIN bins USING (j)),"
+        for i in range(1, k + 1)
+    )
+    bounds = "\n".join(f"b{i} AS (SELECT {f'd{i + 1}.back' if i < k else 'j'} AS spot FROM {f'd{i + 1} JOIN b{i + 1} ON d{i + 1}.j = b{i + 1}.spot' if i < k else 'top'})," for i in range(k, 0, -1))
+    union = " UNION ".join(f"SELECT spot FROM b{i}" for i in range(1, k + 1))
+    return f"""
+WITH n AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n FROM documents),
+pieces AS (SELECT doc_id, n, unnest(range(greatest(1, (n + {m - 1}) // {m}))) AS piece FROM n),
+seq AS (SELECT doc_id, piece, piece * {m} AS start, least(n - piece * {m}, {m}) AS n_tokens,
+        md5(coalesce(doc_id::VARCHAR, '') || ':' || piece::VARCHAR) AS key FROM pieces),
+st AS (SELECT *, greatest(1, (n_tokens + {s - 1}) // {s}) AS steps FROM seq),
+top AS (SELECT max(steps) AS j FROM st),
+bins AS (SELECT j, (SELECT count(*) FROM st WHERE steps <= j) AS below FROM (SELECT unnest(range(0, (SELECT j FROM top) + 1)) AS j)),
+d0 AS (SELECT j, CASE WHEN j = 0 THEN 0 ELSE 1000000000000 END AS cost, 0 AS back, below FROM bins),
+{steps}
+{bounds}
+bounds AS (SELECT DISTINCT spot FROM ({union}) WHERE spot > 0),
+dealt AS (SELECT st.*, (SELECT min(spot) FROM bounds WHERE spot >= st.steps) AS bucket FROM st),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY key, doc_id, piece, n_tokens) - 1 AS spot,
+             greatest(1, {budget} // (bucket * {s})) AS room FROM dealt)
+SELECT doc_id, piece, start, n_tokens, bucket * {s} AS bucket_tokens, spot // room AS batch, spot % room AS slot FROM numbered
+"""
+
+
+def _template_sql(column: str) -> str:
+    """Tokens of a column, names marked, as in the operator."""
+    name = decontaminate.NAME.replace("'", "''")
+    marked = f"coalesce({column}, '')"
+    for _ in range(2):
+        marked = f"regexp_replace({marked}, '{name}', '\\1' || chr(1) || '\\2', 'g')"
+    return f"regexp_extract_all({marked}, '{decontaminate.TOKEN}')"
+
+
+def _decontamination_sql() -> str:
+    units = ", ".join(f"'{u}'" for u in decontaminate.UNITS)
+    canon = f"list_transform(toks, lambda t: CASE WHEN starts_with(t, chr(1)) THEN '#p' WHEN regexp_matches(t, '^\\p{{N}}') THEN '#n' WHEN lower(t) IN ({units}) THEN '#u' ELSE lower(t) END)"
+    w = decontaminate.WIDTH
+    windows = lambda key, table: f"SELECT {key}, spot, array_to_string(canon[spot + 1:spot + {w}], ' ') AS h, canon[spot + 1:spot + {w}] AS win FROM (SELECT {key}, canon, unnest(range(0, len(canon) - {w - 1})) AS spot FROM {table} WHERE len(canon) >= {w})"
+    return f"""
+WITH d AS (SELECT doc_id, toks, {canon} AS canon FROM (SELECT doc_id, {_template_sql('text')} AS toks FROM documents)),
+b AS (SELECT item_id, toks, {canon} AS canon FROM (SELECT item_id, {_template_sql('text')} AS toks FROM benchmark WHERE text IS NOT NULL)),
+bw AS (SELECT item_id, spot, h FROM ({windows('item_id', 'b')}) WHERE len(list_filter(win, lambda x: NOT starts_with(x, '#'))) >= {decontaminate.PLAIN}),
+total AS (SELECT item_id, count(*) AS total FROM bw GROUP BY ALL),
+dw AS ({windows('doc_id', 'd')}),
+m AS (SELECT doc_id, item_id, bw.spot, dw.spot - bw.spot AS shift FROM dw JOIN bw USING (h)),
+runs AS (SELECT doc_id, item_id, shift, count(DISTINCT spot) AS n FROM m GROUP BY ALL),
+best AS (SELECT doc_id, item_id, shift FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n DESC, shift) = 1),
+cov AS (SELECT doc_id, item_id, count(DISTINCT spot) AS n FROM m GROUP BY ALL),
+cand AS (SELECT doc_id, item_id, shift, n::DOUBLE / total AS coverage FROM cov JOIN total USING (item_id) JOIN best USING (doc_id, item_id)
+         WHERE n >= {decontaminate.SHARE}::DOUBLE * total),
+spots AS (SELECT doc_id, item_id, shift, b.toks AS bt, b.canon AS bc, d.toks AS dt, d.canon AS dc, unnest(range(1, len(b.toks) + 1)) AS i
+          FROM cand JOIN b USING (item_id) JOIN d USING (doc_id)),
+pairs AS (SELECT DISTINCT doc_id, item_id, lower(bt[i]) AS a, lower(dt[i + shift]) AS v FROM spots
+          WHERE i + shift BETWEEN 1 AND len(dt) AND starts_with(bc[i], '#') AND bc[i] = dc[i + shift]),
+bad AS (SELECT doc_id, item_id FROM pairs GROUP BY ALL HAVING count(*) > count(DISTINCT a)),
+leaks AS (SELECT doc_id, list(item_id ORDER BY item_id) AS items, max(coverage) AS coverage FROM cand ANTI JOIN bad USING (doc_id, item_id) GROUP BY doc_id)
+SELECT doc_id, items IS NOT NULL AS leaked, coalesce(len(items), 0) AS n_items, coalesce(array_to_string(items, ','), '') AS items, coalesce(coverage, 0.0) AS coverage
+FROM documents LEFT JOIN leaks USING (doc_id)
+"""
+
+
 ORACLES = {
+    "op7_packing": _packing_sql(),
+    "op9_decontamination": _decontamination_sql(),
+    "op6_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, s, array_to_string(ws[s:s + 19], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM w WHERE len(ws) >= 20)),
+rep AS (SELECT doc_id, s FROM win QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM rep),
+word AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)
+""",
     "op1_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,

@@ -1,7 +1,56 @@
-"""Corpus pipeline (being built)."""
-STAGES = []
+"""Corpus pipeline: language, exact copies, near copies, benchmark leaks, packing.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet and
+read again as the next one's ``docs``. All but the last keep the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from obsledger.llm import decontaminate, exact_dedup, langid, packing, simhash
+from obsledger.llm.common import stage
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold language: those without a letter (or null) are rejected; all others stay.
+
+    Profiles are learned from the rows of ``docs`` that name a language.
+    """
+    found = langid.identify(docs, langid.fit_profiles(docs))
+    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts."""
+    return exact_dedup.drop_exact_copies(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.drop_near_copies(docs)
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    return decontaminate.drop_leaked(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences in token-budget batches, by doc_id."""
+    return packing.pack(docs)
+
+
+STAGES = [("language", language), ("exact_dedup", exact), ("near_dedup", near), ("decontaminate", leaks), ("pack", pack)]
+
+#: Language profiles and SimHash components are beyond SQL; tests hold the pipeline against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import as_bytes, rows_of
 
 #: Words of a window, words of a minimiser.
-WIDTH, M = 20, 5
+WIDTH, M = 20, 4
 #: Bytes of packed strings that a map task holds before it sends them, and that a reduce task sorts at a time.
 HOLD = 48 << 20
 #: Packed bytes that one bucket is meant to get; sets how many buckets there are.
@@ -59,6 +59,23 @@ def _pack_ranges(ranges) -> bytes:
     return np.array(ranges, np.int64).tobytes()
 
 
+def _pack(items: list[tuple[int, int, int, bytes]]) -> bytes:
+    """Super-k-mers (doc, row, start, text) in one compressed string; the numbers by column and byte, for size."""
+    head = np.array([(d, r, s, len(p)) for d, r, s, p in items], np.int64)
+    head[1:, 0] -= head[:-1, 0].copy()
+    planes = np.ascontiguousarray(head.view(np.uint8).T)
+    return zstandard.compress(len(items).to_bytes(8, "little") + planes.tobytes() + b"".join(p for *_, p in items), 3)
+
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
+    raw = zstandard.decompress(blob)
+    n = int.from_bytes(raw[:8], "little")
+    head = np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * 32, 8).reshape(32, n).T).view(np.int64)
+    head[:, 0] = head[:, 0].cumsum()
+    stops = np.cumsum(head[:, 3]) + 8 + n * 32
+    return head[:, :3], [raw[a:b] for a, b in zip((stops - head[:, 3]).tolist(), stops.tolist(), strict=True)]
+
+
 def _map(n_buckets: int, width: int):
     """Rows (bucket, kind, doc, row, data): packed super-k-mers (kind 0), or window ranges known to repeat (kind 1)."""
 
@@ -71,8 +88,7 @@ def _map(n_buckets: int, width: int):
                 repeats.setdefault((d, r), []).append((s, s + packed.count(b" ") + 2 - width))
         out = []
         for b, items in by.items():
-            head = np.array([(d, r, s, len(p)) for d, r, s, p in items], np.int64)
-            out.append((b, 0, 0, 0, zstandard.compress(len(items).to_bytes(8, "little") + head.tobytes() + b"".join(p for *_, p in items), 1)))
+            out.append((b, 0, 0, 0, _pack(items)))
         out += [(zlib.crc32(b"%d:%d" % k) % n_buckets, 1, *k, _pack_ranges(v)) for k, v in repeats.items()]
         return out
 
@@ -117,15 +133,8 @@ def _map(n_buckets: int, width: int):
 
 
 def _unpacked(blobs: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    head, texts = [], []
-    for blob in blobs:
-        raw = zstandard.decompress(blob)
-        n = int.from_bytes(raw[:8], "little")
-        h = np.frombuffer(raw, np.int64, n * 4, 8).reshape(n, 4)
-        stops = np.cumsum(h[:, 3]) + 8 + n * 32
-        head.append(h[:, :3])
-        texts += [raw[a:b] for a, b in zip((stops - h[:, 3]).tolist(), stops.tolist(), strict=True)]
-    return np.concatenate(head), texts
+    parts = [_unpack(b) for b in blobs]
+    return np.concatenate([p[0] for p in parts]), [t for p in parts for t in p[1]]
 
 
 def _repeats_in(blobs: list[bytes], width: int) -> dict[tuple[int, int], list[tuple[int, int]]]:
@@ -200,9 +209,14 @@ def _reduce(width: int):
     return run
 
 
+def _row(text: str):
+    """Tells rows of one id apart by their text, in 32 bits."""
+    return F.pmod(F.xxhash64(text), F.lit(1 << 32)).alias("row")
+
+
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, n_bytes: int | None = None) -> DataFrame:
     """(doc, row, parts): packed ranges of the windows of a row that start earlier elsewhere."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("row"), as_bytes(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), _row(text_col), as_bytes(text_col).alias("text"))
     if n_bytes is None:
         n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -241,7 +255,7 @@ def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def _applied(docs, id_col, text_col, width, make, column, kind) -> DataFrame:
     marks = repeated_windows(docs, id_col, text_col, width)
     id_type = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("row"), as_bytes(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(id_col).cast("long").alias("doc"), _row(text_col), as_bytes(text_col).alias("text"))
     both = rows.withColumn("doc", F.coalesce("doc", F.lit(_LAST))).join(marks, ["doc", "row"], "left").select("id", "text", "parts")
 
     def run(batches):

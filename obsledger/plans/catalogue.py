@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-FAMILIES: tuple = ()
+from . import observation
+
+FAMILIES = (observation,)
 
 
 def queries() -> dict[str, Callable]:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import observation
+from . import commerce, observation
 
-FAMILIES = (observation,)
+FAMILIES = (observation, commerce)
 
 
 def queries() -> dict[str, Callable]:

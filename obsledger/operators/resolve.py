@@ -33,9 +33,10 @@ def merge_sources(rows: DataFrame, key: list[str], article: str, fields: list[st
     ok = per.groupBy(*key, "_unit").agg(((F.count("*") > 1) & (F.max("n") == 1)).alias("_settles"))
     r = r.join(ok, [*key, "_unit"])
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("_fill")).alias("o"), F.col(source).alias("s"), F.col(row_key).alias("k"), *(F.col(f).alias(f"f_{f}") for f in fields))))
-    first = lambda f: F.element_at(F.filter("_r", lambda x: x[f"f_{f}"].isNotNull() & ~x[f"f_{f}"].cast("string").isin("", "0")), 1)[f"f_{f}"]
+    some = lambda f: F.filter("_r", lambda x: x[f"f_{f}"].isNotNull() & ~x[f"f_{f}"].cast("string").isin("", "0"))
+    first = lambda f: F.coalesce(F.get(some(f), F.lit(0))[f"f_{f}"], F.col("_r")[0][f"f_{f}"])
     settled = r.where("_settles").groupBy(*key, "_unit").agg(ranked.alias("_r")).select(
-        *key, F.col("_r")[0]["k"].alias(row_key), *(F.when(F.size(F.filter("_r", lambda x, f=f: x[f"f_{f}"].isNotNull() & ~x[f"f_{f}"].cast("string").isin("", "0"))) > 0, first(f)).otherwise(F.col("_r")[0][f"f_{f}"]).alias(f) for f in fields),
+        *key, F.col("_r")[0]["k"].alias(row_key), *(first(f).alias(f) for f in fields),
         F.array_sort(F.transform("_r", lambda x: x["s"])).alias("sources"), F.array_sort(F.slice(F.transform("_r", lambda x: x["k"]), 2, 1 << 30)).alias("merged_keys"),
     )
     empty = F.array().cast(settled.schema["merged_keys"].dataType)

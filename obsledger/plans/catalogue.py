@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import commerce, observation
+from . import commerce, documents, observation
 
-FAMILIES = (observation, commerce)
+FAMILIES = (observation, commerce, documents)
 
 
 def queries() -> dict[str, Callable]:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import commerce, documents, observation
+from . import commerce, documents, golden, observation
 
-FAMILIES = (observation, commerce, documents)
+FAMILIES = (observation, commerce, documents, golden)
 
 
 def queries() -> dict[str, Callable]:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import commerce, documents, golden, observation
+from . import commerce, documents, golden, golden_records, observation
 
-FAMILIES = (observation, commerce, documents, golden)
+FAMILIES = (observation, commerce, documents, golden, golden_records)
 
 
 def queries() -> dict[str, Callable]:

@@ -70,7 +70,7 @@ def _pack(items: list[tuple[int, int, int, bytes]]) -> bytes:
 def _unpack(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
     raw = zstandard.decompress(blob)
     n = int.from_bytes(raw[:8], "little")
-    head = np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * 32, 8).reshape(32, n).T).view(np.int64)
+    head = np.frombuffer(raw, np.uint8, n * 32, 8).reshape(32, n).T.copy().view(np.int64)
     head[:, 0] = head[:, 0].cumsum()
     stops = np.cumsum(head[:, 3]) + 8 + n * 32
     return head[:, :3], [raw[a:b] for a, b in zip((stops - head[:, 3]).tolist(), stops.tolist(), strict=True)]

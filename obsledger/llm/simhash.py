@@ -19,42 +19,61 @@ from .common import as_bytes, drop_staged, join_groups, rows_of, stage
 from .graph import connected_components
 
 #: Most fingerprints that are compared with each other in one group.
-GROUP = 1024
+GROUP = 4096
+#: The near-copy stage: bits that one of two fingerprints may differ in, and both together, for a candidate;
+#: the share of common word shingles that makes it a near copy.
+STAGE_DISTANCE, STAGE_TOTAL, STAGE_SHARE = 7, 22, 0.8
+#: Rows up to which the documents to verify are found by a broadcast of their ids (16 bytes each).
+BROADCAST_ROWS = 500_000
+#: Links of a group that are held before they are folded into its components.
+_HELD = 1 << 20
 _ALL = (1 << 64) - 1
 
 
-def fingerprint(text: bytes, width: int = 3) -> int:
-    """64-bit SimHash over word shingles (repeats count) of A-Z lower-cased UTF-8 text, unsigned.
+def _bits(total: np.ndarray, n: int) -> int:
+    return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big")
+
+
+def _remixed(h: np.ndarray) -> np.ndarray:
+    """Another 64-bit hash of each shingle, from the first."""
+    x = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def fingerprint(text: bytes, width: int = 3, pair: bool = False) -> tuple[int, int]:
+    """64-bit SimHash over word shingles (repeats count) of A-Z lower-cased UTF-8 text, unsigned, and a second
+    independent one if ``pair`` (else 0).
 
     Words are runs without white space; fewer words than ``width`` make one shingle; no word gives 0.
     """
     words = text.lower().split()
     if not words:
-        return 0
+        return 0, 0
     digest = xxhash.xxh64_intdigest
-    if len(words) <= width:
-        return digest(b" ".join(words), 42)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.concatenate(([0], ends[: -width])).tolist()
+    width = min(width, len(words))
+    starts = np.concatenate(([0], ends[:-width])).tolist()
     stops = (ends[width - 1 :] - 1).tolist()
-    total, n = np.zeros(64, np.int64), len(starts)
+    total, other, n = np.zeros(64, np.int64), np.zeros(64, np.int64), len(starts)
     for at in range(0, n, 1 << 16):  # bounds the memory of the bit counts
-        h = np.array([digest(joined[a:b], 42) for a, b in zip(starts[at : at + (1 << 16)], stops[at : at + (1 << 16)], strict=True)], dtype=">u8")
-        total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big")
+        h = np.array([digest(joined[a:b], 42) for a, b in zip(starts[at : at + (1 << 16)], stops[at : at + (1 << 16)], strict=True)], np.uint64)
+        total += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        if pair:
+            other += np.unpackbits(_remixed(h).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return _bits(total, n), _bits(other, n)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(id, fp): the signed 64-bit fingerprint of every row; null text counts as empty."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, pair: bool = False) -> DataFrame:
+    """(id, fp, other): the signed 64-bit fingerprints of every row; null text counts as empty."""
     kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            fps = [fingerprint(t or b"", width) for (t,) in rows_of([batch.select(["text"])], 64)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.array(fps, np.uint64).view(np.int64))], ["id", "fp"])
+            fps = np.array([fingerprint(t or b"", width, pair) for (t,) in rows_of([batch.select(["text"])], 64)], np.uint64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps[:, 0].copy().view(np.int64)), pa.array(fps[:, 1].copy().view(np.int64))], ["id", "fp", "other"])
 
-    return docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    return docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long, other long")
 
 
 def _split(mask: int, parts: int) -> list[int]:
@@ -71,25 +90,10 @@ def _keys(masks: list[int]):
     return F.explode(F.array(*(F.struct(F.lit(_signed(m)).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for m in masks))).alias("k")
 
 
-def _links_in(distance: int):
-    """Per group of equal (mask, key), rows in that order: links that connect whatever pairs would."""
+def _links_in(distance: int, total: int | None):
+    """Per group of equal (mask, key), rows in that order: links that connect whatever near pairs would."""
 
-    def solve(mask, key, fp):
-        new = np.flatnonzero(np.concatenate(([True], (mask[1:] != mask[:-1]) | (key[1:] != key[:-1]))))
-        group = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(fp))))
-        root = np.arange(len(fp))
-        us, vs = [], []
-        at = np.arange(len(fp))
-        for d in range(1, len(fp)):
-            at = at[: np.searchsorted(at, len(fp) - d)]
-            at = at[group[at] == group[at + d]]
-            if not len(at):
-                break
-            near = at[np.bitwise_count((fp[at] ^ fp[at + d]).view(np.uint64)) <= distance]
-            us.append(near)
-            vs.append(near + d)
-        if not us:
-            return fp[:0], fp[:0]
+    def fold(root, us, vs):
         u, v = np.concatenate(us), np.concatenate(vs)
         while True:
             low = np.minimum(root[u], root[v])
@@ -98,27 +102,55 @@ def _links_in(distance: int):
             np.minimum.at(root, v, low)
             root = root[root]
             if (root == was).all():
+                return root
+
+    def solve(mask, key, node, fp, other):
+        new = np.flatnonzero(np.concatenate(([True], (mask[1:] != mask[:-1]) | (key[1:] != key[:-1]))))
+        group = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(fp))))
+        a, b = fp.view(np.uint64), other.view(np.uint64)
+        root, at = np.arange(len(fp)), np.arange(len(fp))
+        us, vs, held = [], [], 0
+        best, mate = np.full(len(fp), 255, np.uint8), np.full(len(fp), -1)
+        for d in range(1, len(fp)):
+            at = at[: np.searchsorted(at, len(fp) - d)]
+            at = at[group[at] == group[at + d]]
+            if not len(at):
                 break
-        own = np.flatnonzero(root != np.arange(len(fp)))
-        return fp[own], fp[root[own]]
+            near = at[np.bitwise_count(a[at] ^ a[at + d]) <= distance]
+            if not len(near):
+                continue
+            if total is not None:  # each one's nearest earlier neighbour, a direct pair that can be verified
+                both = np.bitwise_count(a[near] ^ a[near + d]) + np.bitwise_count(b[near] ^ b[near + d])
+                closer = (both <= total) & (both < best[near + d])
+                best[near[closer] + d], mate[near[closer] + d] = both[closer], near[closer]
+                continue
+            us.append(near)
+            vs.append(near + d)
+            held += len(near)
+            if held > _HELD:
+                root, us, vs, held = fold(root, us, vs), [], [], 0
+        if us:
+            root = fold(root, us, vs)
+        own = np.flatnonzero(mate >= 0) if total is not None else np.flatnonzero(root != np.arange(len(fp)))
+        return node[own], node[(mate if total is not None else root)[own]]
 
     def run(batches):
-        held = None
-
-        def out(m, k, f):
-            u, v = solve(m, k, f)
+        def out(cols):
+            u, v = solve(*cols)
             return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+        held = None
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in range(3)]
+            now = [batch.column(c).to_numpy() for c in range(5)]
             held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
-            m, k, f = held
+            m, k = held[:2]
             last = np.flatnonzero((m != m[-1]) | (k != k[-1]))
             cut = int(last[-1]) + 1 if len(last) else 0
-            for a in _cuts(m[:cut], k[:cut]):
-                yield out(m[a], k[a], f[a])
+            for part in _cuts(m[:cut], k[:cut]):
+                yield out([x[part] for x in held])
             held = [x[cut:] for x in held]
         if held is not None and len(held[0]):
-            yield out(*held)
+            yield out(held)
 
     return run
 
@@ -135,48 +167,93 @@ def _cuts(mask, key, size: int = 1 << 13):
         at = stop
 
 
-def near_links(fps: DataFrame, distance: int = 3, group: int = GROUP) -> DataFrame:
-    """Links (u, v) between distinct fingerprints ``fp`` that connect all pairs within ``distance`` bits.
+def near_links(nodes: DataFrame, distance: int = 3, group: int = GROUP, total: int | None = None) -> DataFrame:
+    """Links (u, v) between ``nodes`` (node, fp, other) that connect all pairs whose ``fp`` differ in at most
+    ``distance`` bits: not every near pair appears, but any two that do are joined by a chain of near pairs.
 
-    Not every near pair appears, but any two that do are joined by a chain of near pairs.
+    With ``total`` the links are candidates: of the pairs whose two fingerprints also differ in at most
+    ``total`` bits together, each node's nearest in every block it is in.
     """
-    parts, masks, found = distance + 1, _split(0, distance + 1), None
-    rows = fps.select("fp")
+    parts, masks = distance + 1, _split(0, distance + 1)
+    rows = nodes.select("node", "fp", "other", _keys(masks)).select("k.mask", "k.key", "node", "fp", "other")
+    found = None
     while True:
-        keyed = rows.select("fp", _keys(masks)).select("fp", "k.mask", "k.key") if "mask" not in rows.columns else rows
-        heavy = stage(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > group), "simhash-heavy")
+        heavy = stage(rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > group), "simhash-heavy")
         hot = [r["mask"] & _ALL for r in heavy.select("mask").distinct().collect()]  # masks, a handful by construction
-        light = keyed.join(heavy, ["mask", "key"], "left_anti") if hot else keyed
-        links = light.select("mask", "key", "fp").repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_links_in(distance), "u long, v long")
+        light = rows.join(heavy, ["mask", "key"], "left_anti") if hot else rows
+        links = light.select(*rows.columns).repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_links_in(distance, total), "u long, v long")
         found = links if found is None else found.unionByName(links)
         if not hot:
             return found
-        subs = fps.sparkSession.createDataFrame([(_signed(m), _signed(x)) for m in hot for x in _split(m, parts)], "mask long, sub long")
-        rows = keyed.join(heavy, ["mask", "key"], "left_semi").join(F.broadcast(subs), "mask").select("fp", F.col("sub").alias("mask"), F.col("fp").bitwiseAND(F.col("sub")).alias("key"))
+        subs = nodes.sparkSession.createDataFrame([(_signed(m), _signed(x)) for m in hot for x in _split(m, parts)], "mask long, sub long")
+        rows = rows.join(heavy, ["mask", "key"], "left_semi").join(F.broadcast(subs), "mask").select(F.col("sub").alias("mask"), F.col("fp").bitwiseAND(F.col("sub")).alias("key"), "node", "fp", "other")
         rows = stage(rows, "simhash-split")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3) -> DataFrame:
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """(node, shingles): the distinct word shingles of each row's whole text as 32-bit hashes."""
+
+    def run(batches):
+        for batch in batches:
+            sets = []
+            for (text,) in rows_of([batch.select(["text"])], 64):
+                words = text.lower().split()
+                k = min(width, len(words))
+                sets.append(sorted({xxhash.xxh32_intdigest(b" ".join(words[i : i + k])) - (1 << 31) for i in range(len(words) - k + 1)}) if words else [])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int32()))], ["node", "shingles"])
+
+    return docs.select("node", "text").mapInArrow(run, "node long, shingles array<int>")
+
+
+def verified(links: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, share: float) -> DataFrame:
+    """The links whose documents (each node's row of least id) share at least ``share`` of their word shingles."""
+    links = stage(links.distinct(), "simhash-candidates")
+    used = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    reps = stage(used.join(nodes, "node").select("node", F.col("least").alias("_id")), "simhash-reps")
+    side = F.broadcast(reps) if reps.count() <= BROADCAST_ROWS else reps
+    texts = docs.select(F.col(id_col).alias("_id"), as_bytes(text_col).alias("text")).join(side, "_id")
+    sets = stage(shingle_sets(texts, width).dropDuplicates(["node"]), "simhash-shingles")
+    pairs = links.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+    common = F.size(F.array_intersect("a", "b"))
+    return pairs.where(common >= F.lit(share) * (F.size("a") + F.size("b") - common)).select("u", "v")
+
+
+def components(docs: DataFrame, id_col: str, text_col: str, width: int, distance: int, total: int | None = None, share: float = STAGE_SHARE) -> DataFrame:
+    """(id, fp, component_id) of every row; see :func:`near_dedup`. With ``total``, each of two fingerprints in
+    turn seeks candidates, and those that share ``share`` of their shingles link."""
+    rows = fingerprints(docs, id_col, text_col, width, total is not None)
+    rows = stage(rows.withColumn("node", F.col("fp") if total is None else F.xxhash64("fp", "other")), "simhash-fp")
+    n = rows.count()
+    distinct = stage(rows.groupBy("node", "fp", "other").agg(F.min("id").alias("least"), F.count("*").alias("n")), "simhash-distinct")
+    links = near_links(distinct, distance, total=total)
+    if total is not None:
+        links = links.unionByName(near_links(distinct.select("node", F.col("other").alias("fp"), F.col("fp").alias("other")), distance, total=total))
+        links = verified(links, distinct, docs, id_col, text_col, width, share)
+    links = stage(links, "simhash-links")
+    roots = connected_components(links)
+    drop_staged(links)
+    linked = stage(distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-roots")
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
+    named = stage(join_groups(linked.select("node", "root", "n"), least, "root", "members", n).select("node", "n", "component_id"), "simhash-named")
+    return join_groups(rows.select("id", "fp", "node"), named, "node", "n", n).select("id", "fp", "component_id")
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3, total: int | None = None) -> DataFrame:
     """One row per input row: the id, ``fingerprint`` (16 hex digits), ``component_id``.
 
     Rows link when their fingerprints differ in at most ``distance`` bits; ``component_id`` is the
     smallest id reachable over links. Null text counts as empty; texts without words have fingerprint
     zero and link like any other; null ids never become a component id unless a component has no other.
     """
-    rows = stage(fingerprints(docs, id_col, text_col, width), "simhash-fp")
-    n = rows.count()
-    distinct = stage(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "simhash-distinct")
-    links = stage(near_links(distinct, distance), "simhash-links")
-    roots = connected_components(links)
-    drop_staged(links)
-    linked = stage(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-roots")
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
-    named = stage(join_groups(linked.select("fp", "root", "n"), least, "root", "members", n).select("fp", "n", "component_id"), "simhash-named")
-    out = join_groups(rows, named, "fp", "n", n)
+    out = components(docs, id_col, text_col, width, distance, total)
     return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = 3) -> DataFrame:
-    """One row of ``docs`` for each component: the row whose id names it. Rows alike in id and text stay once."""
-    found = near_dedup(docs, id_col, text_col, width, distance).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_keep")).distinct()
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates([id_col])
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = STAGE_DISTANCE, total: int = STAGE_TOTAL) -> DataFrame:
+    """One row of ``docs`` for each group of near copies: of the rows that ``total`` links, the one of least id.
+
+    Rows alike in id stay once; null-id rows only merge with rows of the same fingerprints.
+    """
+    found = components(docs, id_col, text_col, width, distance, total)
+    keep = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_keep")).distinct()
+    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates([id_col])

@@ -103,7 +103,7 @@ def test_split_blocks_lose_no_link(spark):
     rng = np.random.default_rng(2)
     base = [int(x) for x in rng.integers(0, 1 << 20, 40)]
     fps = sorted({b ^ (1 << int(x)) ^ (1 << int(y)) for b in base for x, y in rng.integers(0, 62, (12, 2))} | set(base))
-    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    df = spark.createDataFrame([(f, f, 0) for f in fps], "node long, fp long, other long")
     want = simhash.near_links(df, 3, group=10_000)
     got = simhash.near_links(df, 3, group=64)
     comp = lambda e: {r.node: r.root for r in graph.connected_components(e).collect()}

@@ -113,7 +113,7 @@ def markdown_rows(lines: DataFrame) -> DataFrame:
     w = Window.partitionBy("file").orderBy("line_no")
     section = F.last(F.when(F.col("line").startswith("#"), F.trim(F.regexp_replace("line", "^#+", ""))), ignorenulls=True).over(w)
     rows = lines.withColumn("section", F.coalesce(section, F.lit(""))).where(F.col("line").startswith("|") & ~F.col("line").rlike(r"^\|[\s:|-]+\|?\s*$"))
-    return rows.select("file", "section", "line_no", F.transform(F.split(F.regexp_replace("line", r"^\||\|\s*$", ""), r"\|"), F.trim).alias("cells"))
+    return rows.select("file", "section", "line_no", F.transform(F.split(F.regexp_replace("line", r"^\||\|\s*$", ""), r"\|"), lambda c: F.trim(c)).alias("cells"))
 
 
 def json_shape(body: Column) -> Column:

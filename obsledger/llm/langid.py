@@ -9,16 +9,20 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+
+from .common import stage
 
 #: N-grams in a profile and in a document's ranking.
 TOP = 400
 #: Expected number of training rows of each language: the bound of the sample that profiles are fitted on.
 TRAIN_PER_LANG = 1500
 UNKNOWN = "und"
+#: Languages up to which their row counts are broadcast.
+BROADCAST_ROWS = 10_000
 #: Letters fall on 509 classes by code point (prime, so that the letters of one script keep apart).
 _CLASSES, _BITS = 509, 9
 #: Code points that are counted at a time, and texts at most, so that ranks sort as single integers.
@@ -133,7 +137,8 @@ def fit_profiles(train: DataFrame, text_col: str = "text", lang_col: str = "lang
     a smaller one); their gram counts are summed on the cluster and only the profiles reach the driver.
     """
     train = train.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    sizes = F.broadcast(train.groupBy("lang").agg(F.count("*").alias("rows")))  # one row per language
+    sizes = stage(train.groupBy("lang").agg(F.count("*").alias("rows")), "lang-sizes")
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
     drawn = F.pmod(F.xxhash64("id", F.lit(4)), F.lit(1 << 30)) < (F.lit(float(per_lang)) / F.col("rows")) * (1 << 30)
 
     def run(batches):
@@ -197,11 +202,14 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "
     """
     own = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(profiles)  # ``top`` grams a language
+    kept = docs.select(*(F.col(f"`{c}`") for c in own))
+    at_text = own.index(text_col)
 
-    @F.pandas_udf("lang string, score double")
-    def udf(texts):
-        lang, score = predict(texts.where(texts.notna(), None).tolist(), shared.value, top)
-        return pd.DataFrame({"lang": lang, "score": score})
-
-    return docs.select(*(F.col(f"`{c}`") for c in own), udf(F.col(text_col)).alias("_p")).select(*(F.col(f"`{c}`") for c in own), F.col("_p.lang").alias("lang_pred"), F.col("_p.score").alias("score"))
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, _DOCS):
+                part = batch.slice(at, _DOCS)
+                lang, score = predict(part.column(at_text).to_pylist(), shared.value, top)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score)], [*own, "lang_pred", "score"])
 
+    return kept.mapInArrow(run, StructType([*kept.schema, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))

@@ -252,8 +252,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = STAGE_DISTANCE, total: int = STAGE_TOTAL) -> DataFrame:
     """One row of ``docs`` for each group of near copies: of the rows that ``total`` links, the one of least id.
 
-    Rows alike in id stay once; null-id rows only merge with rows of the same fingerprints.
+    Rows alike in id are one document: they stay or go together. Null-id rows merge only with rows of the
+    same fingerprints.
     """
     found = components(docs, id_col, text_col, width, distance, total)
     keep = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_keep")).distinct()
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates([id_col])
+    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")

@@ -20,13 +20,14 @@ def merge_sources(rows: DataFrame, key: list[str], article: str, fields: list[st
 
     Unit: the rows of ``key`` if they name at most one article; else those of each article, and every
     blank-article row alone. A unit settles only if it has several sources and each gives exactly one row;
-    otherwise its rows pass untouched. The base is the fullest row (ties by source, key); each other field
+    otherwise its rows pass untouched, as do rows without a key. The base is the fullest row (ties by source, key); each other field
     is the first non-empty value in that order.
     """
     art = F.coalesce(F.col(article), F.lit(""))
-    w = Window.partitionBy(*key)
-    named = F.size(F.collect_set(F.when(art != "", art)).over(w))
-    r = rows.withColumn("_n", named)
+    keyless = " OR ".join(f"`{k}` IS NULL" for k in key)
+    rest = rows.where(keyless)
+    named = rows.groupBy(*key).agg(F.count_distinct(F.when(art != "", art)).alias("_n"))
+    r = rows.where(f"NOT ({keyless})").join(named, key)
     unit = F.when(F.col("_n") <= 1, "").when(art != "", F.concat(F.lit("a:"), art)).otherwise(F.concat(F.lit("r:"), F.col(row_key).cast("string")))
     r = r.withColumn("_unit", unit).withColumn("_fill", filled(*(F.col(f) for f in fields)))
     per = r.groupBy(*key, "_unit", source).agg(F.count("*").alias("n"))
@@ -40,8 +41,8 @@ def merge_sources(rows: DataFrame, key: list[str], article: str, fields: list[st
         F.array_sort(F.transform("_r", lambda x: x["s"])).alias("sources"), F.array_sort(F.slice(F.transform("_r", lambda x: x["k"]), 2, 1 << 30)).alias("merged_keys"),
     )
     empty = F.array().cast(settled.schema["merged_keys"].dataType)
-    alone = r.where(~F.col("_settles")).select(*key, row_key, *fields, F.array(source).alias("sources"), empty.alias("merged_keys"))
-    return settled.unionByName(alone)
+    out = lambda x: x.select(*key, row_key, *fields, F.array(source).alias("sources"), empty.alias("merged_keys"))
+    return settled.unionByName(out(r.where(~F.col("_settles")))).unionByName(out(rest))
 
 
 def tiered_match(exits: DataFrame, openings: DataFrame, tiers: list[list[str]], near: list[str], differs: str) -> DataFrame:

@@ -31,7 +31,7 @@ def not_counted(spark, sf_dir):
     left = cells.reasons_filled(spark, r.where("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n")), ["unresolved", "unobserved", "undecided", "gone"])
     total = r.agg(F.count("*").alias("total"), F.count_if(F.col("reason").isNull()).alias("counted"), F.count("reason").alias("left_out"))
     total = total.select(cells.reconciled(F.col("total"), F.col("counted"), F.col("left_out")).alias("total"))
-    return left.crossJoin(F.broadcast(total))  # one row
+    return left.select("*", total.scalar().alias("total"))
 
 
 def suppressed_rates(spark, sf_dir):
@@ -94,7 +94,7 @@ def future_events(spark, sf_dir):
     """Orders all of whose shipping lies after the cut-off derived from the newest order."""
     today = table(spark, sf_dir, "orders").agg(F.date_sub(F.to_date(F.max("o_orderdate")), 30).alias("today"))
     li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.to_date(F.min("l_shipdate")).alias("first"))
-    return li.crossJoin(F.broadcast(today)).where("first > today").select("l_orderkey", F.col("first").cast("string").alias("first_ship"))  # today: one row
+    return li.where(F.col("first") > today.scalar()).select("l_orderkey", F.col("first").cast("string").alias("first_ship"))
 
 
 def majority_lookup(spark, sf_dir):

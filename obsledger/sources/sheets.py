@@ -136,9 +136,8 @@ class zip_entries:  # noqa: N801
 
 def preferred(own: DataFrame, built_in: DataFrame) -> DataFrame:
     """A list from its table if that has rows, else the built-in one; ``used`` names which it was."""
-    any_own = own.limit(1).agg(F.count("*").alias("_n"))  # one row
-    a = own.withColumn("used", F.lit("table"))
-    return a.unionByName(built_in.withColumn("used", F.lit("built-in")).join(F.broadcast(any_own.where("_n = 0")), how="cross").drop("_n"))
+    none = own.limit(1).agg(F.count("*") == 0)
+    return own.withColumn("used", F.lit("table")).unionByName(built_in.withColumn("used", F.lit("built-in")).where(none.scalar()))
 
 
 def write_mart(df: DataFrame, path: str, single: bool = False) -> None:

@@ -26,7 +26,7 @@ BROADCAST_ROWS = 10_000
 #: Letters fall on 509 classes by code point (prime, so that the letters of one script keep apart).
 _CLASSES, _BITS = 509, 9
 #: Code points that are counted at a time, and texts at most, so that ranks sort as single integers.
-_CHUNK, _DOCS = 1 << 19, 1 << 11
+_CHUNK, _DOCS = 1 << 19, 1 << 9
 
 
 @lru_cache(maxsize=1)

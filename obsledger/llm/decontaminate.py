@@ -114,5 +114,6 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
 def drop_leaked(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found, with their own columns."""
     rows = stage(find_leaks(docs, bench, id_col, text_col, **options).select("row").distinct(), "leaked-rows")
-    out = docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col))).join(_small(rows.withColumnRenamed("row", "_row"), BROADCAST_ROWS), "_row", "left_anti")
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
+    side = _small(rows.withColumnRenamed("row", "_leak_row"), BROADCAST_ROWS).alias("k")
+    wide = docs.alias("d")
+    return wide.join(side, F.xxhash64(F.col(f"d.`{id_col}`"), F.col(f"d.`{text_col}`")) == F.col("k._leak_row"), "left_anti")

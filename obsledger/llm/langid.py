@@ -195,12 +195,12 @@ def predict(texts: list[str | None], profiles: dict[str, np.ndarray], top: int =
     return lang, score
 
 
-def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "text", top: int = TOP) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` appended (names that clash are replaced).
+def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "text", top: int = TOP, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` (or other ``names``) appended (names that clash are replaced).
 
     Reads whole texts and nothing else of a row. Null text or text without a letter gives ``und``, 0.
     """
-    own = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    own = [c for c in docs.columns if c.lower() not in names]
     shared = docs.sparkSession.sparkContext.broadcast(profiles)  # ``top`` grams a language
     kept = docs.select(*(F.col(f"`{c}`") for c in own))
     at_text = own.index(text_col)
@@ -210,6 +210,6 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "
             for at in range(0, batch.num_rows, _DOCS):
                 part = batch.slice(at, _DOCS)
                 lang, score = predict(part.column(at_text).to_pylist(), shared.value, top)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score)], [*own, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score)], [*own, *names])
 
-    return kept.mapInArrow(run, StructType([*kept.schema, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    return kept.mapInArrow(run, StructType([*kept.schema, StructField(names[0], StringType()), StructField(names[1], DoubleType())]))

@@ -209,9 +209,9 @@ def verified(links: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     """The links whose documents (each node's row of least id) share at least ``share`` of their word shingles."""
     links = stage(links.distinct(), "simhash-candidates")
     used = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    reps = stage(used.join(nodes, "node").select("node", F.col("least").alias("_id")), "simhash-reps")
+    reps = stage(used.join(nodes, "node").select("node", F.col("least").alias("id")), "simhash-reps")
     side = F.broadcast(reps) if reps.count() <= BROADCAST_ROWS else reps
-    texts = docs.select(F.col(id_col).alias("_id"), as_bytes(text_col).alias("text")).join(side, "_id")
+    texts = docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text")).join(side, "id")
     sets = stage(shingle_sets(texts, width).dropDuplicates(["node"]), "simhash-shingles")
     pairs = links.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
     common = F.size(F.array_intersect("a", "b"))
@@ -256,5 +256,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     same fingerprints.
     """
     found = components(docs, id_col, text_col, width, distance, total)
-    keep = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_keep")).distinct()
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
+    keep = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct().alias("k")
+    return docs.alias("d").join(keep, F.col(f"d.`{id_col}`").eqNullSafe(F.col("k.id")), "left_semi")

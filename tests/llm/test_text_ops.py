@@ -149,6 +149,27 @@ def test_pipeline(spark, tmp_path):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_stages_take_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and long texts, repeated rows, clashing extra columns, no rows at all."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, id long, score string, lang_pred string, row string, _row long, _keep long, k string, d string"
+    extra = (1, "s", "l", "r", 2, 3, "k", "d")
+    rows = [(1, "der und ist haus", "de", None, None, *extra), (1, "der und ist haus", "de", None, None, *extra), (None, "the and of house", None, "s", 1, *extra), (2, None, "en", "s", 1, *extra), (3, "", "en", "s", 0, *extra), (4, "river " * 30_000, "en", "s", 0, *extra)]
+    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for labelled in (True, False):
+        docs = spark.createDataFrame([r if labelled else (*r[:2], None, *r[3:]) for r in rows], schema)
+        for _, step in pipeline.STAGES[:-1]:
+            docs = step(spark, docs, str(tmp_path))
+            assert docs.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+        got = docs.collect()
+        assert sorted((r.doc_id for r in got), key=str) == [1, 4, None]
+        assert {(r.score, r._row, r.k) for r in got} == {("s", 2, "k")}
+        assert pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 2 + -(-len("river " * 30_000) // 4096)
+    none = spark.createDataFrame([], schema)
+    for _, step in pipeline.STAGES:
+        assert step(spark, none, str(tmp_path)).count() == 0
+
+
 def test_template_tokens(spark):
     df = spark.createDataFrame([("He met Tom Smith, paid 3.50 dollars. Then left",)], "text string")
     got = df.select(F.transform(decontaminate.tokens(F.col("text")), decontaminate.template).alias("t")).first().t

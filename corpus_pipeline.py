@@ -16,10 +16,13 @@ from obsledger.llm.common import stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold language: those without a letter (or null) are rejected; all others stay.
 
-    Profiles are learned from the rows of ``docs`` that name a language.
+    Profiles are learned from the rows of ``docs`` that name a language; where none does, letters alone decide.
     """
-    found = langid.identify(docs, langid.fit_profiles(docs))
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    profiles = langid.fit_profiles(docs)
+    if not profiles:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = langid.identify(docs, profiles, names=("_stage_lang", "_stage_score"))
+    return found.where(F.col("_stage_lang") != langid.UNKNOWN).drop("_stage_lang", "_stage_score")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

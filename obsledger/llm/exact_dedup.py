@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, drop_staged, join_groups, stage
+from .common import SPACE, join_groups, stage
 
 #: Largest filter, in bits (32 MiB), and bits spent on each text.
 MAX_BITS = 1 << 28

@@ -13,12 +13,13 @@ import hashlib
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, rows_of
+from .common import as_bytes, rows_of, stage
 
 #: Words of a window, words of a minimiser.
 WIDTH, M = 20, 4
@@ -26,6 +27,8 @@ WIDTH, M = 20, 4
 HOLD = 48 << 20
 #: Packed bytes that one bucket is meant to get; sets how many buckets there are.
 BUCKET = 4 << 20
+#: Largest filter of rows with repeats, in bits (32 MiB), and bits spent on each.
+MAX_BITS, BITS_PER_ROW = 1 << 28, 16
 _LAST = (1 << 63) - 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -252,11 +255,31 @@ def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return _applied(docs, id_col, text_col, width, lambda words: hashlib.sha256(b" ".join(words)).hexdigest(), "kept_sha256 string", pa.string())
 
 
+def _maybe_marked(marks: DataFrame) -> Column:
+    """Whether a (doc, row) may be among ``marks``: a bitmap of fixed largest size; false only if it is not."""
+    bits = min(MAX_BITS, max(1 << 16, 1 << int(np.ceil(np.log2(max(1, marks.count() * BITS_PER_ROW))))))
+    slot = F.pmod(F.xxhash64("doc", "row"), F.lit(bits))
+    hit = marks.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(slot & 63))")).alias("set")).toArrow()
+    words = np.zeros(bits // 64, np.int64)
+    words[hit["word"].to_numpy()] = hit["set"].to_numpy()
+    shared = marks.sparkSession.sparkContext.broadcast(words.tobytes())
+
+    @F.pandas_udf("boolean")
+    def test(at: pd.Series) -> pd.Series:
+        at = at.to_numpy(np.int64)
+        return pd.Series(((np.frombuffer(shared.value, np.uint8)[at >> 3] >> (at & 7)) & 1).astype(bool))
+
+    return test(slot)
+
+
 def _applied(docs, id_col, text_col, width, make, column, kind) -> DataFrame:
-    marks = repeated_windows(docs, id_col, text_col, width)
+    """Only rows that may hold repeats shuffle to meet their marks; the others pass through the scan."""
+    marks = stage(repeated_windows(docs, id_col, text_col, width), "substring-marks")
     id_type = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(id_col).cast("long").alias("doc"), _row(text_col), as_bytes(text_col).alias("text"))
-    both = rows.withColumn("doc", F.coalesce("doc", F.lit(_LAST))).join(marks, ["doc", "row"], "left").select("id", "text", "parts")
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"), _row(text_col), as_bytes(text_col).alias("text"))
+    rows = rows.withColumn("maybe", _maybe_marked(marks))
+    whole = rows.where(~F.col("maybe")).select("id", "text", F.lit(None).cast("array<binary>").alias("parts"))
+    both = rows.where("maybe").join(marks, ["doc", "row"], "left").select("id", "text", "parts")
 
     def run(batches):
         for batch in batches:
@@ -271,4 +294,5 @@ def _applied(docs, id_col, text_col, width, make, column, kind) -> DataFrame:
                     made.append(make([w for w, x in zip(words, out.tolist(), strict=True) if not x] if parts else words))
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(made, kind)], ["id", "n_words", "n_removed", column.split()[0]])
 
-    return both.mapInArrow(run, f"id {id_type}, n_words long, n_removed long, {column}").withColumnRenamed("id", id_col)
+    schema = f"id {id_type}, n_words long, n_removed long, {column}"
+    return whole.mapInArrow(run, schema).unionByName(both.mapInArrow(run, schema)).withColumnRenamed("id", id_col)

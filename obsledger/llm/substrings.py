@@ -24,7 +24,7 @@ from .common import as_bytes, rows_of, stage
 #: Words of a window, words of a minimiser.
 WIDTH, M = 20, 4
 #: Bytes of packed strings that a map task holds before it sends them, and that a reduce task sorts at a time.
-HOLD = 48 << 20
+HOLD = 32 << 20
 #: Packed bytes that one bucket is meant to get; sets how many buckets there are.
 BUCKET = 4 << 20
 #: Largest filter of rows with repeats, in bits (32 MiB), and bits spent on each.

@@ -4,7 +4,8 @@ Fingerprints within ``distance`` bits agree on at least one of ``distance + 1``
 sought among equal blocks only and verified by Hamming distance. Copies meet as one fingerprint. A
 block that too many fingerprints share is split again by the same rule on its remaining bits, until
 its groups are small enough for one task's memory: no candidate is dropped at any size. Each group
-yields a spanning set of its links, never all pairs; components follow from those.
+yields a spanning set of its links, never all pairs; components follow from those. Where links are
+verified, each node's nearest goes first, then every other pair that no verified link connects.
 """
 
 from __future__ import annotations
@@ -110,7 +111,7 @@ def _links_in(distance: int, total: int | None):
         a, b = fp.view(np.uint64), other.view(np.uint64)
         root, at = np.arange(len(fp)), np.arange(len(fp))
         us, vs, held = [], [], 0
-        best, mate = np.full(len(fp), 255, np.uint8), np.full(len(fp), -1)
+        best, mate, seen = np.full(len(fp), 255, np.uint8), np.full(len(fp), -1), np.zeros(len(fp), np.int64)
         for d in range(1, len(fp)):
             at = at[: np.searchsorted(at, len(fp) - d)]
             at = at[group[at] == group[at + d]]
@@ -121,6 +122,7 @@ def _links_in(distance: int, total: int | None):
                 continue
             if total is not None:  # each one's nearest earlier neighbour, a direct pair that can be verified
                 both = np.bitwise_count(a[near] ^ a[near + d]) + np.bitwise_count(b[near] ^ b[near + d])
+                seen[near[both <= total] + d] += 1
                 closer = (both <= total) & (both < best[near + d])
                 best[near[closer] + d], mate[near[closer] + d] = both[closer], near[closer]
                 continue
@@ -132,12 +134,12 @@ def _links_in(distance: int, total: int | None):
         if us:
             root = fold(root, us, vs)
         own = np.flatnonzero(mate >= 0) if total is not None else np.flatnonzero(root != np.arange(len(fp)))
-        return node[own], node[(mate if total is not None else root)[own]]
+        links = node[own], node[(mate if total is not None else root)[own]]
+        return links if total is None else (*links, mask[own], key[own], seen[own] > 1)
 
     def run(batches):
         def out(cols):
-            u, v = solve(*cols)
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in solve(*cols)], ["u", "v", "mask", "key", "more"][: 2 if total is None else 5])
 
         held = None
         for batch in batches:
@@ -171,9 +173,11 @@ def near_links(nodes: DataFrame, distance: int = 3, group: int = GROUP, total: i
     """Links (u, v) between ``nodes`` (node, fp, other) that connect all pairs whose ``fp`` differ in at most
     ``distance`` bits: not every near pair appears, but any two that do are joined by a chain of near pairs.
 
-    With ``total`` the links are candidates: of the pairs whose two fingerprints also differ in at most
-    ``total`` bits together, each node's nearest in every block it is in.
+    With ``total`` the links are candidates (u, v, mask, key, more): of the pairs whose two fingerprints also
+    differ in at most ``total`` bits together, each node's nearest in every block it is in, and whether the
+    block holds more; those are for :func:`rest_of_links`.
     """
+    schema = "u long, v long" if total is None else "u long, v long, mask long, key long, more boolean"
     parts, masks = distance + 1, _split(0, distance + 1)
     rows = nodes.select("node", "fp", "other", _keys(masks)).select("k.mask", "k.key", "node", "fp", "other")
     found = None
@@ -181,7 +185,7 @@ def near_links(nodes: DataFrame, distance: int = 3, group: int = GROUP, total: i
         heavy = stage(rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > group), "simhash-heavy")
         hot = [r["mask"] & _ALL for r in heavy.select("mask").distinct().collect()]  # masks, a handful by construction
         light = rows.join(heavy, ["mask", "key"], "left_anti") if hot else rows
-        links = light.select(*rows.columns).repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_links_in(distance, total), "u long, v long")
+        links = light.select(*rows.columns).repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_links_in(distance, total), schema)
         found = links if found is None else found.unionByName(links)
         if not hot:
             return found
@@ -205,19 +209,77 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("node", "text").mapInArrow(run, "node long, shingles array<int>")
 
 
-def verified(links: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, share: float) -> DataFrame:
-    """The links whose documents (each node's row of least id) share at least ``share`` of their word shingles."""
-    links = stage(links.distinct(), "simhash-candidates")
+def sets_of(links: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(node, shingles) of the nodes of ``links``, from each node's row of least id."""
     used = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     reps = stage(used.join(nodes, "node").select("node", F.col("least").alias("id")), "simhash-reps")
     side = F.broadcast(reps) if reps.count() <= BROADCAST_ROWS else reps
     texts = docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text")).join(side, "id")
-    sets = stage(shingle_sets(texts, width).dropDuplicates(["node"]), "simhash-shingles")
+    return stage(shingle_sets(texts, width).dropDuplicates(["node"]), "simhash-shingles")
+
+
+def verified(links: DataFrame, sets: DataFrame, share: float) -> DataFrame:
+    """The links whose documents share at least ``share`` of their word shingles."""
     pairs = links.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
     common = F.size(F.array_intersect("a", "b"))
     return pairs.where(common >= F.lit(share) * (F.size("a") + F.size("b") - common)).select("u", "v")
 
 
+def _rest_in(distance: int, total: int, share: float):
+    """Per group of equal (mask, key): every pair within the limits that no link joins yet, verified in place."""
+
+    def solve(rows):
+        node, root = np.array([r[0] for r in rows]), np.array([r[3] for r in rows])
+        a, b = (np.array([r[k] for r in rows], np.int64).view(np.uint64) for k in (1, 2))
+        sets, sizes = [r[4] for r in rows], np.array([len(r[4]) for r in rows])
+        for d in range(1, len(rows)):
+            one = np.bitwise_count(a[:-d] ^ a[d:])
+            near = (one <= distance) & (one + np.bitwise_count(b[:-d] ^ b[d:]) <= total) & (root[:-d] != root[d:])
+            near &= np.minimum(sizes[:-d], sizes[d:]) >= share * np.maximum(sizes[:-d], sizes[d:])
+            for i in np.flatnonzero(near).tolist():
+                if root[i] == root[i + d]:
+                    continue
+                common = len(np.intersect1d(sets[i], sets[i + d], assume_unique=True))
+                if common >= share * (sizes[i] + sizes[i + d] - common):
+                    root[root == root[i + d]] = root[i]
+                    yield int(node[i + d]), int(node[i])
+
+    def run(batches):
+        def out(rows):
+            links = list(solve(rows))
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+        now, held = None, []
+        for batch in batches:
+            ids = [batch.column(c).to_numpy().tolist() for c in range(6)]
+            sets, ends = batch.column(6).flatten().to_numpy(), np.cumsum(batch.column(6).value_lengths().to_numpy()).tolist()
+            for k, (mask, key, *row) in enumerate(zip(*ids, strict=True)):
+                if (mask, key) != now:
+                    if held:
+                        yield out(held)
+                    now, held = (mask, key), []
+                held.append((*row, sets[ends[k - 1] if k else 0 : ends[k]]))
+        if held:
+            yield out(held)
+
+    return run
+
+
+def rest_of_links(candidates: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, distance: int, total: int, share: float) -> DataFrame:
+    """The verified links that the nearest lack: of the blocks where a node has more candidates than its nearest,
+    all pairs within the limits whose ends have other ``roots`` so far."""
+    blocks = stage(candidates.where("more").select("mask", "key").distinct(), "simhash-open")
+    masks = [r["mask"] & _ALL for r in blocks.select("mask").distinct().collect()]  # a handful by construction
+    if not masks:
+        return candidates.select("u", "v").limit(0)
+    rows = nodes.select("node", "fp", "other", _keys(masks)).select("k.mask", "k.key", "node", "fp", "other").join(blocks, ["mask", "key"], "left_semi")
+    rows = rows.join(sets.select("node"), "node", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = stage(rows, "simhash-open-rows")
+    apart = rows.groupBy("mask", "key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("mask", "key")
+    rows = rows.join(apart, ["mask", "key"], "left_semi").join(sets, "node").select("mask", "key", "node", "fp", "other", "root", "shingles")
+    return rows.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_rest_in(distance, total, share), "u long, v long")
+
+
 def components(docs: DataFrame, id_col: str, text_col: str, width: int, distance: int, total: int | None = None, share: float = STAGE_SHARE) -> DataFrame:
     """(id, fp, component_id) of every row; see :func:`near_dedup`. With ``total``, each of two fingerprints in
     turn seeks candidates, and those that share ``share`` of their shingles link."""
@@ -227,8 +289,14 @@ def components(docs: DataFrame, id_col: str, text_col: str, width: int, distance
     distinct = stage(rows.groupBy("node", "fp", "other").agg(F.min("id").alias("least"), F.count("*").alias("n")), "simhash-distinct")
     links = near_links(distinct, distance, total=total)
     if total is not None:
-        links = links.unionByName(near_links(distinct.select("node", F.col("other").alias("fp"), F.col("fp").alias("other")), distance, total=total))
-        links = verified(links, distinct, docs, id_col, text_col, width, share)
+        swapped = distinct.select("node", F.col("other").alias("fp"), F.col("fp").alias("other"))
+        first, second = stage(links, "simhash-candidates"), stage(near_links(swapped, distance, total=total), "simhash-candidates")
+        both = first.unionByName(second).select("u", "v").distinct()
+        sets = sets_of(both, distinct, docs, id_col, text_col, width)
+        links = stage(verified(both, sets, share), "simhash-nearest")
+        roots = stage(connected_components(links), "simhash-nearest-roots")
+        for candidates, nodes in ((first, distinct), (second, swapped)):
+            links = links.unionByName(rest_of_links(candidates, nodes, sets, roots, distance, total, share))
     links = stage(links, "simhash-links")
     roots = connected_components(links)
     drop_staged(links)

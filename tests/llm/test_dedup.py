@@ -114,3 +114,27 @@ def test_split_blocks_lose_no_link(spark):
             root[a] = root[b] = min(root[a], root[b])
     linked = {f for e in brute for f in e}
     assert comp(want) == comp(got) == {f: root[f] for f in linked}
+
+
+def test_near_copies_try_more_than_the_nearest(spark):
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in rng.integers(0, 100_000, 300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1200):
+        t = list(base)
+        for at in rng.choice(300, 5, replace=False):
+            t[int(at)] = f"x{i}y{at}"
+        rows.append((i + 1, " ".join(t)))
+    sets = [{" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for w in (r[1].split() for r in rows)]
+    prints = [simhash.fingerprint(r[1].encode(), 5, True) for r in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            x, y = (prints[i][k] ^ prints[j][k] for k in (0, 1))
+            if root[i] != root[j] and min(x.bit_count(), y.bit_count()) <= simhash.STAGE_DISTANCE and x.bit_count() + y.bit_count() <= simhash.STAGE_TOTAL:
+                common = len(sets[i] & sets[j])
+                if common >= simhash.STAGE_SHARE * (len(sets[i]) + len(sets[j]) - common):
+                    old, new = max(root[i], root[j]), min(root[i], root[j])
+                    root = [new if r == old else r for r in root]
+    got = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(root))

@@ -5,7 +5,8 @@ sought among equal blocks only and verified by Hamming distance. Copies meet as
 block that too many fingerprints share is split again by the same rule on its remaining bits, until
 its groups are small enough for one task's memory: no candidate is dropped at any size. Each group
 yields a spanning set of its links, never all pairs; components follow from those. Where links are
-verified, each node's nearest goes first, then every other pair that no verified link connects.
+verified, each node's nearest goes first, then every other pair that no verified link connects; there,
+texts meet by bands of MinHash values too, since fingerprints part near copies of lesser similarity.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ GROUP = 4096
 #: The near-copy stage: bits that one of two fingerprints may differ in, and both together, for a candidate;
 #: the share of common word shingles that makes it a near copy.
 STAGE_DISTANCE, STAGE_TOTAL, STAGE_SHARE = 7, 22, 0.8
+#: The near-copy stage: equal bands of MinHash values make a candidate as well; at similarity 0.8 no band is
+#: equal with a chance of (1 - 0.8 ** 4) ** 40, under one in 10 ** 9.
+BANDS, BAND_ROWS = 40, 4
 #: Rows up to which the documents to verify are found by a broadcast of their ids (16 bytes each).
 BROADCAST_ROWS = 500_000
 #: Links of a group that are held before they are folded into its components.
@@ -41,9 +45,24 @@ def _remixed(h: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def fingerprint(text: bytes, width: int = 3, pair: bool = False) -> tuple[int, int]:
+_MIX = np.random.default_rng(7).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64) | np.uint64(1)
+
+
+def _bands(hashes: list[np.ndarray]) -> list[int]:
+    """A signed 64-bit key for each band of MinHash values over the shingles' hashes."""
+    least = np.full(BANDS * BAND_ROWS, _ALL, np.uint64)
+    for h in hashes:
+        for at in range(0, len(h), 1024):
+            least = np.minimum(least, ((h[at : at + 1024, None] ^ _MIX[0]) * _MIX[1]).min(0))
+    key = np.arange(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, BAND_ROWS).T:
+        key = _remixed(key ^ column)
+    return key.view(np.int64).tolist()
+
+
+def fingerprint(text: bytes, width: int = 3, pair: bool = False, bands: list[int] | None = None) -> tuple[int, int]:
     """64-bit SimHash over word shingles (repeats count) of A-Z lower-cased UTF-8 text, unsigned, and a second
-    independent one if ``pair`` (else 0).
+    independent one if ``pair`` (else 0). ``bands`` receives the keys of the MinHash bands.
 
     Words are runs without white space; fewer words than ``width`` make one shingle; no word gives 0.
     """
@@ -56,25 +75,36 @@ def fingerprint(text: bytes, width: int = 3, pair: bool = False) -> tuple[int, i
     width = min(width, len(words))
     starts = np.concatenate(([0], ends[:-width])).tolist()
     stops = (ends[width - 1 :] - 1).tolist()
-    total, other, n = np.zeros(64, np.int64), np.zeros(64, np.int64), len(starts)
+    total, other, n, hashes = np.zeros(64, np.int64), np.zeros(64, np.int64), len(starts), []
     for at in range(0, n, 1 << 16):  # bounds the memory of the bit counts
         h = np.array([digest(joined[a:b], 42) for a, b in zip(starts[at : at + (1 << 16)], stops[at : at + (1 << 16)], strict=True)], np.uint64)
         total += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
         if pair:
             other += np.unpackbits(_remixed(h).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        if bands is not None:
+            hashes.append(h)
+    if bands is not None:
+        bands += _bands(hashes)
     return _bits(total, n), _bits(other, n)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, pair: bool = False) -> DataFrame:
-    """(id, fp, other): the signed 64-bit fingerprints of every row; null text counts as empty."""
+    """(id, fp, other): the signed 64-bit fingerprints of every row; null text counts as empty. With ``pair``
+    also ``bands``, the keys of its MinHash bands."""
     kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            fps = np.array([fingerprint(t or b"", width, pair) for (t,) in rows_of([batch.select(["text"])], 64)], np.uint64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps[:, 0].copy().view(np.int64)), pa.array(fps[:, 1].copy().view(np.int64))], ["id", "fp", "other"])
+            fps, bands = [], []
+            for (t,) in rows_of([batch.select(["text"])], 64):
+                keys = [] if pair else None
+                fps.append(fingerprint(t or b"", width, pair, keys))
+                bands.append(keys)
+            fps = np.array(fps, np.uint64).reshape(-1, 2)
+            cols = [batch.column("id"), pa.array(fps[:, 0].copy().view(np.int64)), pa.array(fps[:, 1].copy().view(np.int64))]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(bands, pa.list_(pa.int64()))] if pair else cols, ["id", "fp", "other", "bands"][: 4 if pair else 3])
 
-    return docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long, other long")
+    return docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long, other long" + (", bands array<long>" if pair else ""))
 
 
 def _split(mask: int, parts: int) -> list[int]:
@@ -280,27 +310,54 @@ def rest_of_links(candidates: DataFrame, nodes: DataFrame, sets: DataFrame, root
     return rows.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_rest_in(distance, total, share), "u long, v long")
 
 
+def band_links(nodes: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Candidates (u, v) that lead each node to the least of each band key it has, and the keys (key, v, n)."""
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    groups = stage(keys.groupBy("key").agg(F.min("node").alias("v"), F.count("*").alias("n")).where("n > 1"), "simhash-bands")
+    return join_groups(keys, groups, "key", "n", rows).where("node <> v").select(F.col("node").alias("u"), "v"), groups
+
+
+def rest_of_bands(groups: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, share: float, rows: int, group: int = GROUP) -> DataFrame:
+    """The verified links that the stars of :func:`band_links` lack: all pairs of equal band keys whose ends have
+    other ``roots`` so far. Groups beyond ``group`` are dealt in parts, and every two parts meet."""
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    many = groups.where("n > 2").select("key", "n")
+    met = stage(join_groups(keys, many, "key", "n", rows).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-band-rows")
+    apart = stage(met.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("m")).where("a <> b").select("key", "m"), "simhash-band-apart")
+    open_rows = join_groups(met, apart, "key", "m", rows)
+    parts = F.ceil(F.col("n") / (group // 2)).cast("long")
+    own = F.pmod(F.xxhash64("node"), parts)
+    tiles = F.when(F.col("n") <= group, F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda p: F.least(p, own) * parts + F.greatest(p, own)))
+    zero = F.lit(0).cast("long")
+    dealt = open_rows.select(F.col("key").alias("mask"), F.explode(tiles).alias("key"), "node", zero.alias("fp"), zero.alias("other"), "root").join(sets, "node")
+    dealt = dealt.select("mask", "key", "node", "fp", "other", "root", "shingles")
+    return dealt.repartition("mask", "key").sortWithinPartitions("mask", "key", "node").mapInArrow(_rest_in(64, 128, share), "u long, v long")
+
+
 def components(docs: DataFrame, id_col: str, text_col: str, width: int, distance: int, total: int | None = None, share: float = STAGE_SHARE) -> DataFrame:
     """(id, fp, component_id) of every row; see :func:`near_dedup`. With ``total``, each of two fingerprints in
-    turn seeks candidates, and those that share ``share`` of their shingles link."""
+    turn and the MinHash bands seek candidates, and those that share ``share`` of their shingles link."""
     rows = fingerprints(docs, id_col, text_col, width, total is not None)
     rows = stage(rows.withColumn("node", F.col("fp") if total is None else F.xxhash64("fp", "other")), "simhash-fp")
     n = rows.count()
-    distinct = stage(rows.groupBy("node", "fp", "other").agg(F.min("id").alias("least"), F.count("*").alias("n")), "simhash-distinct")
+    distinct = stage(rows.groupBy("node", "fp", "other").agg(F.min("id").alias("least"), F.count("*").alias("n"), *([] if total is None else [F.min_by("bands", "id").alias("bands")])), "simhash-distinct")
     links = near_links(distinct, distance, total=total)
     if total is not None:
         swapped = distinct.select("node", F.col("other").alias("fp"), F.col("fp").alias("other"))
         first, second = stage(links, "simhash-candidates"), stage(near_links(swapped, distance, total=total), "simhash-candidates")
-        both = first.unionByName(second).select("u", "v").distinct()
+        band_rows = distinct.count() * BANDS
+        stars, groups = band_links(distinct, band_rows)
+        both = stage(first.unionByName(second).select("u", "v").unionByName(stars).distinct(), "simhash-pairs")
         sets = sets_of(both, distinct, docs, id_col, text_col, width)
         links = stage(verified(both, sets, share), "simhash-nearest")
         roots = stage(connected_components(links), "simhash-nearest-roots")
         for candidates, nodes in ((first, distinct), (second, swapped)):
             links = links.unionByName(rest_of_links(candidates, nodes, sets, roots, distance, total, share))
+        links = links.unionByName(rest_of_bands(groups, distinct, sets, roots, share, band_rows))
     links = stage(links, "simhash-links")
     roots = connected_components(links)
     drop_staged(links)
-    linked = stage(distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-roots")
+    linked = stage(distinct.drop("bands").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-roots")
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
     named = stage(join_groups(linked.select("node", "root", "n"), least, "root", "members", n).select("node", "n", "component_id"), "simhash-named")
     return join_groups(rows.select("id", "fp", "node"), named, "node", "n", n).select("id", "fp", "component_id")

@@ -126,15 +126,38 @@ def test_near_copies_try_more_than_the_nearest(spark):
             t[int(at)] = f"x{i}y{at}"
         rows.append((i + 1, " ".join(t)))
     sets = [{" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for w in (r[1].split() for r in rows)]
-    prints = [simhash.fingerprint(r[1].encode(), 5, True) for r in rows]
     root = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
-            x, y = (prints[i][k] ^ prints[j][k] for k in (0, 1))
-            if root[i] != root[j] and min(x.bit_count(), y.bit_count()) <= simhash.STAGE_DISTANCE and x.bit_count() + y.bit_count() <= simhash.STAGE_TOTAL:
+            if root[i] != root[j]:
                 common = len(sets[i] & sets[j])
                 if common >= simhash.STAGE_SHARE * (len(sets[i]) + len(sets[j]) - common):
                     old, new = max(root[i], root[j]), min(root[i], root[j])
                     root = [new if r == old else r for r in root]
     got = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id for r in got.collect()) == sorted(set(root))
+
+
+def test_near_copies_from_the_share_on_are_found(spark):
+    rng = np.random.default_rng(6)
+    rows, pairs = [], []
+    for _ in range(150):
+        base = [f"w{i}" for i in rng.integers(0, 100_000, 300)]
+        t = list(base)
+        for at in np.linspace(2, 297, 6).astype(int).tolist():
+            t[at] = f"x{rng.integers(1 << 40)}"
+        pairs.append((len(rows), len(rows) + 1))
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(t))]
+    got = {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {a for a, _ in pairs}
+
+
+def test_bands_dealt_in_parts_lose_no_pair(spark):
+    pool = [[1, 2, 3, 4, 5], [11, 12, 13, 14, 15], [21, 22, 23, 24, 25]]
+    rows = [(i, pool[i % 3], [7]) for i in range(40)]
+    nodes = spark.createDataFrame([(i, b) for i, _, b in rows], "node long, bands array<long>")
+    sets = spark.createDataFrame([(i, s) for i, s, _ in rows], "node long, shingles array<int>")
+    roots = spark.createDataFrame([], "node long, root long")
+    _, groups = simhash.band_links(nodes, 40)
+    found = graph.connected_components(simhash.rest_of_bands(groups, nodes, sets, roots, 0.8, 40, group=8)).collect()
+    assert {r.node: r.root for r in found} == {i: i % 3 for i in range(40)}

@@ -1,9 +1,9 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame operations only.
 
 Numbers, names and units of a text become typed placeholders; windows of the resulting template words
-are hashed and joined with those of the benchmark. An item whose windows are found to a given share,
-best along one alignment, is a candidate; it counts as leaked if its slots are consistent there: every
-value of the item stands for one value of the document. Re-parameterised questions are caught as well
+are hashed and joined with those of the benchmark. An item whose windows are found to a given share is a
+candidate; it counts as leaked if its slots are consistent along its best alignment or any other that holds
+the share by itself: every value of the item stands for one value of the document. Re-parameterised questions are caught as well
 as verbatim ones, chance matches of bare templates are not.
 """
 
@@ -83,20 +83,22 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
     best = lines.groupBy("row", "item", "total").agg(
         F.max(F.struct(F.size("ats").alias("n"), (-F.col("shift")).alias("back"))).alias("best"),
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("n"),
+        F.collect_list(F.when(F.size("ats") >= F.lit(share) * F.col("total"), F.col("shift"))).alias("full"),
     )
-    found = stage(best.where(F.col("n") >= F.lit(share) * F.col("total")).select("row", "item", (F.col("n") / F.col("total")).alias("coverage"), (-F.col("best.back")).alias("shift")), "leak-candidates")
+    shifts = F.array_distinct(F.concat(F.array(-F.col("best.back")), F.col("full"))).alias("shifts")
+    found = stage(best.where(F.col("n") >= F.lit(share) * F.col("total")).select("row", "item", (F.col("n") / F.col("total")).alias("coverage"), shifts), "leak-candidates")
     slotted = stage(found.join(F.broadcast(items.where("slots").select("item")) if items.count() <= BROADCAST_ROWS else items.where("slots").select("item"), "item"), "leak-slotted")
     n = slotted.count()
     if not n:
         return found.select("row", "item", "coverage")
     side = F.broadcast(slotted) if n <= BROADCAST_ROWS else slotted
-    placed = docs.select(row, F.col(text_col).alias("text")).join(side, "row").join(_small(items, BROADCAST_ROWS), "item")
+    placed = docs.select(row, F.col(text_col).alias("text")).join(side, "row").withColumn("shift", F.explode("shifts")).join(_small(items, BROADCAST_ROWS), "item")
     aligned = lambda doc: F.transform(F.sequence(F.lit(0), F.size("toks") - 1), lambda i: F.get(doc, i + F.col("shift")))
     theirs = _let(tokens(F.col("text")), aligned)
     pairs = F.filter(F.zip_with(F.col("toks"), theirs, lambda a, b: F.struct(F.lower(a).alias("a"), F.lower(b).alias("b"), (template(a).startswith("#") & (template(a) == template(b))).alias("ok"))), lambda p: p["ok"])
     pairs = F.array_distinct(F.transform(pairs, lambda p: F.struct(p["a"], p["b"])))
     own = F.array_distinct(F.transform(pairs, lambda p: p["a"]))
-    bad = placed.where(F.size(pairs) > F.size(own)).select("row", "item").distinct()
+    bad = placed.select("row", "item", (F.size(pairs) > F.size(own)).alias("bad")).groupBy("row", "item").agg(F.min("bad").alias("bad")).where("bad").select("row", "item")
     return found.join(bad, ["row", "item"], "left_anti").select("row", "item", "coverage")
 
 

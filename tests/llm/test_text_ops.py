@@ -175,3 +175,12 @@ def test_template_tokens(spark):
     got = df.select(F.transform(decontaminate.tokens(F.col("text")), decontaminate.template).alias("t")).first().t
     assert got == ["he", "met", "#p", "#p", "paid", "#n", "#u", "then", "left"]
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_decontamination_tries_every_full_alignment(spark):
+    item = "the baker sold 5 warm loaves in the morning and then 5 more loaves before the shop was closed"
+    other = item.replace("5 warm", "3 warm").replace("5 more", "4 more")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, f"{other} . {item}"), (2, other), (3, f"{other} . {other}"), (4, f"{item} . {other}")]
+    got = decontaminate.decontaminate(frame(spark, rows), bench)
+    assert {r.doc_id for r in got.where("leaked").collect()} == {1, 4}

@@ -113,7 +113,7 @@ def turn_state(spark, sf_dir):
 
 
 def item_states(spark, sf_dir):
-    """P9/P10 pattern on the benchmark: first of equal items by order, share of each item's long words coerced at 60 %."""
+    """Word counts of each benchmark item, and whether 60 % of its words are long."""
     b = table(spark, sf_dir, "benchmark").select("item_id", F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("w"))
     g = b.groupBy("item_id").agg(F.count("*").alias("n"), F.count_if(F.length("w") > 4).alias("long"))
     return g.withColumn("coerced", (F.col("n") >= 3) & (F.col("long") * 10 >= F.col("n") * 6))

@@ -118,38 +118,40 @@ SELECT doc_id, piece, start, n_tokens, bucket * {s} AS bucket_tokens, spot // ro
 """
 
 
-def _template_sql(column: str) -> str:
-    """Tokens of a column, names marked, as in the operator."""
-    name = decontaminate.NAME.replace("'", "''")
-    marked = f"coalesce({column}, '')"
-    for _ in range(2):
-        marked = f"regexp_replace({marked}, '{name}', '\\1' || chr(1) || '\\2', 'g')"
-    return f"regexp_extract_all({marked}, '{decontaminate.TOKEN}')"
-
-
 def _decontamination_sql() -> str:
-    units = ", ".join(f"'{u}'" for u in decontaminate.UNITS)
-    canon = f"list_transform(toks, lambda t: CASE WHEN starts_with(t, chr(1)) THEN '#p' WHEN regexp_matches(t, '^\\p{{N}}') THEN '#n' WHEN lower(t) IN ({units}) THEN '#u' ELSE lower(t) END)"
-    w = decontaminate.WIDTH
-    windows = lambda key, table: f"SELECT {key}, spot, array_to_string(canon[spot + 1:spot + {w}], ' ') AS h, canon[spot + 1:spot + {w}] AS win FROM (SELECT {key}, canon, unnest(range(0, len(canon) - {w - 1})) AS spot FROM {table} WHERE len(canon) >= {w})"
+    """Tokens are judged one by one here, and windows compared as text; rules as in the operator's docstrings."""
+    low = lambda words: ", ".join(f"'{u}'" for u in words)
+    mark = f"CASE WHEN regexp_matches(t, '^\\p{{N}}') THEN '0' WHEN regexp_full_match(t, '\\p{{Lu}}\\p{{Ll}}+') AND lower(t) NOT IN ({low(decontaminate.OPENERS)}) THEN '1' WHEN lower(t) IN ({low(decontaminate.UNITS)}) THEN '2' END"
+    toks = "regexp_extract_all(coalesce(text, ''), '[\\p{L}\\p{M}]+|\\p{N}+(?:[.,]\\p{N}+)*')"
+    w, share, plain = decontaminate.WIDTH, decontaminate.SHARE, decontaminate.PLAIN
+    windows = lambda key, words, table: f"SELECT {key}, spot, array_to_string({words}[spot + 1:spot + {w}], ' ') AS h, {words}[spot + 1:spot + {w}] AS win FROM (SELECT {key}, {words}, unnest(range(0, len({words}) - {w - 1})) AS spot FROM {table} WHERE len({words}) >= {w})"
     return f"""
-WITH d AS (SELECT doc_id, toks, {canon} AS canon FROM (SELECT doc_id, {_template_sql('text')} AS toks FROM documents)),
-b AS (SELECT item_id, toks, {canon} AS canon FROM (SELECT item_id, {_template_sql('text')} AS toks FROM benchmark WHERE text IS NOT NULL)),
-bw AS (SELECT item_id, spot, h FROM ({windows('item_id', 'b')}) WHERE len(list_filter(win, lambda x: NOT starts_with(x, '#'))) >= {decontaminate.PLAIN}),
-total AS (SELECT item_id, count(*) AS total FROM bw GROUP BY ALL),
-dw AS ({windows('doc_id', 'd')}),
+WITH d0 AS (SELECT doc_id, toks, list_transform(toks, lambda t: {mark}) AS marks FROM (SELECT doc_id, {toks} AS toks FROM documents)),
+d AS (SELECT *, list_transform(toks, lambda t, i: coalesce(marks[i], lower(t))) AS canon, list_transform(toks, lambda t: lower(t)) AS lows FROM d0),
+b0 AS (SELECT item_id, toks, list_transform(toks, lambda t: {mark}) AS marks FROM (SELECT item_id, {toks} AS toks FROM benchmark WHERE text IS NOT NULL)),
+b AS (SELECT *, list_transform(toks, lambda t, i: coalesce(marks[i], lower(t))) AS canon, list_transform(toks, lambda t: lower(t)) AS lows,
+      list_transform(toks, lambda t, i: CASE WHEN marks[i] = '1' THEN CASE WHEN lower(t) IN ({low(decontaminate.UNITS)}) THEN '2' ELSE lower(t) END ELSE coalesce(marks[i], lower(t)) END) AS flat FROM b0),
+own AS (SELECT item_id, spot, h FROM ({windows('item_id', 'canon', 'b')}) WHERE len(list_filter(win, lambda x: x NOT IN ('0', '1', '2'))) >= {plain}),
+bw AS (SELECT * FROM own UNION SELECT f.item_id, f.spot, f.h FROM ({windows('item_id', 'flat', 'b')}) f SEMI JOIN own USING (item_id, spot)),
+total AS (SELECT item_id, count(*) AS total FROM own GROUP BY ALL),
+dw AS ({windows('doc_id', 'canon', 'd')}),
 m AS (SELECT doc_id, item_id, bw.spot, dw.spot - bw.spot AS shift FROM dw JOIN bw USING (h)),
-runs AS (SELECT doc_id, item_id, shift, count(DISTINCT spot) AS n FROM m GROUP BY ALL),
-best AS (SELECT doc_id, item_id, shift FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n DESC, shift) = 1),
+runs AS (SELECT doc_id, item_id, shift, total, count(DISTINCT spot) AS n FROM m JOIN total USING (item_id) GROUP BY ALL),
+tried AS (SELECT doc_id, item_id, shift FROM runs QUALIFY n >= {share}::DOUBLE * total OR row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n DESC, shift) = 1),
 cov AS (SELECT doc_id, item_id, count(DISTINCT spot) AS n FROM m GROUP BY ALL),
-cand AS (SELECT doc_id, item_id, shift, n::DOUBLE / total AS coverage FROM cov JOIN total USING (item_id) JOIN best USING (doc_id, item_id)
-         WHERE n >= {decontaminate.SHARE}::DOUBLE * total),
-spots AS (SELECT doc_id, item_id, shift, b.toks AS bt, b.canon AS bc, d.toks AS dt, d.canon AS dc, unnest(range(1, len(b.toks) + 1)) AS i
-          FROM cand JOIN b USING (item_id) JOIN d USING (doc_id)),
-pairs AS (SELECT DISTINCT doc_id, item_id, lower(bt[i]) AS a, lower(dt[i + shift]) AS v FROM spots
-          WHERE i + shift BETWEEN 1 AND len(dt) AND starts_with(bc[i], '#') AND bc[i] = dc[i + shift]),
-bad AS (SELECT doc_id, item_id FROM pairs GROUP BY ALL HAVING count(*) > count(DISTINCT a)),
-leaks AS (SELECT doc_id, list(item_id ORDER BY item_id) AS items, max(coverage) AS coverage FROM cand ANTI JOIN bad USING (doc_id, item_id) GROUP BY doc_id)
+cand AS (SELECT doc_id, item_id, n::DOUBLE / total AS coverage FROM cov JOIN total USING (item_id) WHERE n >= {share}::DOUBLE * total),
+spots AS (SELECT doc_id, item_id, shift, unnest(range(1, len(b.toks) + 1)) AS i, b.lows AS bl, b.marks AS bm, d.lows AS dl, d.marks AS dm
+          FROM cand JOIN tried USING (doc_id, item_id) JOIN b USING (item_id) JOIN d USING (doc_id)),
+slots AS (SELECT doc_id, item_id, shift, bl[i] AS a, CASE WHEN i + shift >= 1 THEN dl[i + shift] END AS v, bm[i] AS am, CASE WHEN i + shift >= 1 THEN dm[i + shift] END AS vm FROM spots WHERE bm[i] IS NOT NULL),
+judged AS (SELECT doc_id, item_id, shift, count(*) AS n, count(*) FILTER (WHERE NOT coalesce(am = vm, false) AND NOT coalesce(a = v, false)) AS broken,
+           count(DISTINCT (a, v)) FILTER (WHERE coalesce(am = vm, false) OR coalesce(a = v, false)) AS pairs, count(DISTINCT a) FILTER (WHERE coalesce(am = vm, false) OR coalesce(a = v, false)) AS vals
+           FROM slots GROUP BY ALL),
+bad AS (SELECT doc_id, item_id FROM judged GROUP BY ALL HAVING bool_and(pairs > vals OR broken > (1 - {share}::DOUBLE) * n)),
+short AS (SELECT item_id, lows FROM b ANTI JOIN total USING (item_id) WHERE len(lows) > 0),
+whole AS (SELECT doc_id, item_id, 1.0::DOUBLE AS coverage FROM d, short WHERE CASE WHEN len(short.lows) < {plain} THEN d.lows = short.lows
+          ELSE contains(chr(1) || array_to_string(d.lows, chr(1)) || chr(1), chr(1) || array_to_string(short.lows, chr(1)) || chr(1)) END),
+every AS (SELECT doc_id, item_id, coverage FROM cand ANTI JOIN bad USING (doc_id, item_id) UNION ALL SELECT * FROM whole),
+leaks AS (SELECT doc_id, list(DISTINCT item_id ORDER BY item_id) AS items, max(coverage) AS coverage FROM every GROUP BY doc_id)
 SELECT doc_id, items IS NOT NULL AS leaked, coalesce(len(items), 0) AS n_items, coalesce(array_to_string(items, ','), '') AS items, coalesce(coverage, 0.0) AS coverage
 FROM documents LEFT JOIN leaks USING (doc_id)
 """

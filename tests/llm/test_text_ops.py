@@ -88,7 +88,7 @@ def test_packing(spark):
 
 ITEMS = [
     (1, "A train leaves the old station at 60 km per hour and Tom waits for Tom during 3 hours near the bridge"),
-    (2, "Which of the seven planets in this table is the one that has no moon at all today"), (2, None), (3, "too short"), (4, "1 2 3 4 5 6 7 8 9 10 11 12"), (5, ""),
+    (2, "Which of the seven planets in this table is the one that has no moon at all today"), (2, None), (3, "so short"), (6, "so short"), (4, "1 2 3 4 5 6 7 8 9 10 11 12"), (5, ""),
 ]
 
 
@@ -97,7 +97,7 @@ def test_decontamination(spark):
     changed = ITEMS[0][1].replace("60", "75.5").replace("km", "miles").replace("Tom", "Ann").replace(" 3 ", " 12 ")
     mixed = ITEMS[0][1].replace("and Tom", "and Ann")  # one value of the item would stand for two
     rows = [
-        (1, f"Some words before. {same} and others after"), (2, same.upper()), (3, changed), (4, mixed), (5, None), (6, ""), (7, "too short"), (8, "9 8 7 6 5 4 3 2 1 0 1 2"), (9, same[:40]),
+        (1, f"Some words before. {same} and others after"), (2, same.upper()), (3, changed), (4, mixed), (5, None), (6, ""), (7, "So, short!"), (8, "9 8 7 6 5 4 3 2 1 0 1 2"), (14, "is so short here"), (15, "0 1 2 3 4 5 6 7 8 9 10 11 12 13"), (9, same[:40]),
         (10, "clean text " * 300), (11, same), (11, same), (None, same), (12, f"{changed}. {same}"), (13, same.replace("seven", "seven big")),
     ]
     bench = spark.createDataFrame([(*r, "clash") for r in ITEMS], "item_id long, text string, doc_id string")
@@ -105,11 +105,11 @@ def test_decontamination(spark):
     for r in decontaminate.decontaminate(frame(spark, rows), bench).collect():
         got.setdefault(r.doc_id, []).append(r)
     leaked = {i: r[0]["items"] for i, r in got.items() if r[0].leaked}
-    assert leaked == {1: [2], 2: [2], 3: [1], 11: [2], None: [2], 12: [1, 2]}
+    assert leaked == {1: [2], 2: [2], 3: [1], 7: [3, 6], 11: [2], None: [2], 12: [1, 2], 15: [4]}
     assert len(got[11]) == 2 and all(r.leaked and r.n_items == 1 and r.coverage == 1.0 for r in got[11])
     kept = decontaminate.drop_leaked(frame(spark, rows), bench)
     assert kept.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
-    assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 6, 7, 8, 9, 10, 13]
+    assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 6, 8, 9, 10, 13, 14]
     assert decontaminate.decontaminate(frame(spark, []), bench).count() == 0
     none = decontaminate.decontaminate(frame(spark, rows), bench.where("false"))
     assert none.where("leaked").count() == 0 and none.count() == len(rows)
@@ -170,11 +170,12 @@ def test_stages_take_odd_rows(spark, tmp_path):
         assert step(spark, none, str(tmp_path)).count() == 0
 
 
-def test_template_tokens(spark):
-    df = spark.createDataFrame([("He met Tom Smith, paid 3.50 dollars. Then left",)], "text string")
-    got = df.select(F.transform(decontaminate.tokens(F.col("text")), decontaminate.template).alias("t")).first().t
-    assert got == ["he", "met", "#p", "#p", "paid", "#n", "#u", "then", "left"]
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+def test_template_words(spark):
+    texts = ["He met Tom Smith, paid 3.50 dollars. Then left", "5kg of x9 Mel\u0301on IN Paris's 1,000.5 Feet", "Tom", "", None, "Ünal ate ½ Éclair; iPhone 3G Straße. A Z"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = df.select(decontaminate.template(F.col("text")).alias("t"), F.transform(decontaminate.tokens(F.col("text")), lambda t: F.coalesce(decontaminate._slot(t), F.lower(t))).alias("one")).collect()
+    assert got[0].t == ["he", "met", "1", "1", "paid", "0", "2", "then", "left"]
+    assert all(r.t == r.one for r in got) and got[4].t == []
 
 
 def test_decontamination_tries_every_full_alignment(spark):
@@ -184,3 +185,24 @@ def test_decontamination_tries_every_full_alignment(spark):
     rows = [(1, f"{other} . {item}"), (2, other), (3, f"{other} . {other}"), (4, f"{item} . {other}")]
     got = decontaminate.decontaminate(frame(spark, rows), bench)
     assert {r.doc_id for r in got.where("leaked").collect()} == {1, 4}
+
+
+def test_names_that_open_sentences_are_slots(spark):
+    items = [
+        (1, "Tom has 5 apples in his bag. Tom eats 2 of them on the way. Tom then buys 3 more. How many apples does Tom have now?"),
+        (2, "Natalia sold clips to 48 of her friends in April, and then Natalia sold half as many clips in May"),
+        (3, "Who wrote Hamlet"),
+    ]
+    rows = [
+        (1, items[0][1].replace("Tom", "Anna").replace("5", "7").replace("2", "4")), (2, items[1][1].replace("Natalia", "Marta").replace("48", "52").replace("April", "June")),
+        (3, "Who wrote Hamlet"), (4, "nobody knows who wrote Hamlet in truth"), (5, items[0][1].lower()), (6, items[0][1].replace("Tom eats", "Anna eats")),
+        (7, items[1][1].replace("48", "some").replace("April", "spring").replace("May", "winter")),
+    ]
+    got = decontaminate.decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id: r["items"] for r in got.where("leaked").collect()} == {1: [1], 2: [2], 3: [3], 4: [3], 5: [1]}
+
+
+def test_decontamination_of_a_long_text(spark):
+    same = ITEMS[1][1]
+    got = decontaminate.decontaminate(frame(spark, [(1, "filler of many words " * 40_000 + same), (2, "x" * 300_000)]), spark.createDataFrame(ITEMS, "item_id long, text string"))
+    assert {r.doc_id: r.leaked for r in got.collect()} == {1: True, 2: False}

@@ -5,17 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Largest filter of marked rows, in bits (32 MiB), and bits spent on each.
+MAX_BITS, BITS_PER_ROW = 1 << 28, 16
 #: ``\s`` of the contracts: space and \x09-\x0D, nothing else.
 SPACE = r"[\x20\x09-\x0D]"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
+    """The folder that driver and executors share; a temporary one only in local mode where none is configured."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='obsledger-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -71,6 +77,23 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return rows.join(hot, key).unionByName(rest.join(few, key))
 
 
+def maybe_in(marks: DataFrame, *cols: str, max_bits: int = MAX_BITS) -> Column:
+    """Whether a row's ``cols`` may be among those of ``marks`` (a staged table): a bitmap of fixed largest size; false only if they are not."""
+    bits = min(max_bits, max(1 << 16, 1 << int(np.ceil(np.log2(max(1, marks.count() * BITS_PER_ROW))))))
+    slot = F.pmod(F.xxhash64(*cols), F.lit(bits))
+    hit = marks.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(slot & 63))")).alias("set")).toArrow()
+    words = np.zeros(bits // 64, np.int64)
+    words[hit["word"].to_numpy()] = hit["set"].to_numpy()
+    shared = marks.sparkSession.sparkContext.broadcast(words.tobytes())
+
+    @F.pandas_udf("boolean")
+    def test(at: pd.Series) -> pd.Series:
+        at = at.to_numpy(np.int64)
+        return pd.Series(((np.frombuffer(shared.value, np.uint8)[at >> 3] >> (at & 7)) & 1).astype(bool))
+
+    return test(slot)
+
+
 def order_id(name: str) -> list[Column]:
     """Ids in ascending order, null after all others."""
     return [F.col(name).isNull(), F.col(name)]

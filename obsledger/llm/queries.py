@@ -35,7 +35,7 @@ def _remainder(name: str, parts: int):
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.remove_shared_lines(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_lines", "n_removed", "partners", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,6 +158,21 @@ FROM documents LEFT JOIN leaks USING (doc_id)
 
 
 ORACLES = {
+    "op3_line_dedup": rf"""
+WITH raw AS (SELECT doc_id, line, i FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
+             WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+l AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS clean FROM raw),
+c AS (SELECT *, len(string_split(clean, ' ')) AS words, sum(len(string_split(clean, ' '))) OVER (PARTITION BY doc_id ORDER BY p) AS upto FROM l),
+ranges AS (SELECT a.doc_id, a.p AS s, b.p AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.p BETWEEN a.p AND a.p + {lines.BLOCK_WORDS - 1} WHERE b.upto - a.upto + a.words >= {lines.BLOCK_WORDS}),
+least AS (SELECT doc_id, s, min(e) AS e FROM ranges GROUP BY doc_id, s UNION SELECT doc_id, max(s) AS s, e FROM ranges GROUP BY doc_id, e),
+unit AS (SELECT least.doc_id, s, e, string_agg(clean, chr(10) ORDER BY p) AS key FROM least JOIN c ON c.doc_id = least.doc_id AND p BETWEEN s AND e GROUP BY ALL),
+later AS (SELECT doc_id, s, e FROM unit QUALIFY doc_id > min(doc_id) OVER (PARTITION BY key)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS p FROM later),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS kept, count(*) AS n FROM l ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+total AS (SELECT doc_id, count(*) AS n_lines FROM l GROUP BY doc_id)
+SELECT documents.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines, 0) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN total USING (doc_id) LEFT JOIN kept USING (doc_id)
+""",
     "op7_packing": _packing_sql(),
     "op9_decontamination": _decontamination_sql(),
     "op6_substring_dedup": r"""

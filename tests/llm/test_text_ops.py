@@ -20,28 +20,74 @@ def line(k):
     return f"line number {k} of the shared passage with several words more"
 
 
+def brute_lines(rows, block):
+    """Whole definition, every pair: lines in a run of ``block`` words or more that an earlier document holds in a row."""
+    docs = [(i is None, i or 0, [x for x in (t or "").split("\n") if x.strip(" \t\n\r\x0b\x0c")]) for i, t in rows]
+    clean = [[" ".join(x.split()) for x in d[2]] for d in docs]
+    out = []
+    for a, (i, t) in enumerate(rows):
+        gone, own = set(), clean[a]
+        for b in range(len(rows)):
+            if docs[b][:2] < docs[a][:2]:
+                for s in range(len(own)):
+                    for j in range(len(clean[b])):
+                        n = 0
+                        while s + n < len(own) and j + n < len(clean[b]) and own[s + n] == clean[b][j + n]:
+                            n += 1
+                        if sum(len(x.split()) for x in own[s : s + n]) >= block:
+                            gone.update(range(s, s + n))
+        out.append((i, len(own), len(gone), "\n".join(x for k, x in enumerate(docs[a][2]) if k not in gone)))
+    return sorted(out, key=str)
+
+
+def test_line_dedup_matches_brute_force(spark):
+    rng = np.random.default_rng(8)
+    pool = [" ".join([f"w{k}"] * int(n)) for k, n in enumerate(rng.integers(1, 14, 14))]
+    rows = [(i, "\n".join(rng.choice(pool, int(rng.integers(0, 14))))) for i in range(60)]
+    chunk = pool[2:9]
+    rows += [(100 + i, "\n".join([*rng.choice(pool, 3), *chunk, *rng.choice(pool, 3), *(chunk if i % 2 else [])])) for i in range(12)] + [(None, "\n".join(chunk)), (200, "\n".join(chunk * 3)), (201, "\n".join(pool[::-1]))]
+    for block in (10, 4):
+        got = sorted(((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in lines.remove_shared_lines(frame(spark, rows), block_words=block).collect()), key=str)
+        assert got == brute_lines(rows, block)
+
+
 def test_line_dedup(spark):
     a = "\n".join(line(k) for k in range(6))
     rows = [
         (1, a), (2, f"own start here\n{a}\nown end here"), (3, "\n".join([line(3), "between stands a line", line(1)])), (4, "\n\n" + a.replace(" ", "  ") + "\n"),
         (5, "short\nline"), (6, "short\nother"), (7, None), (8, ""), (9, "\n \n"), (None, a), (20, a), (20, a), (30, "\n".join([line(2)] * 3)),
+        (40, "six words stand in line one"), (41, "six words stand in line two"), (42, "six words stand in line one\nsix words stand in line two"), (50, "long text\n" * 50_000 + a), (51, "x" * 300_000),
     ]
     got = {}
     for r in lines.remove_shared_lines(frame(spark, rows)).collect():
         got.setdefault(r.doc_id, []).append(r)
     one = lambda i: got[i][0]
     assert (one(1).n_removed, one(1).partners, one(1).kept) == (0, 0, a)
-    assert (one(2).n_removed, one(2).kept) == (6, "own start here\nown end here")
-    assert one(3).n_removed == 1  # the two cross: only one can be aligned
+    assert (one(2).n_removed, one(2).partners, one(2).kept) == (6, 1, "own start here\nown end here")
+    assert one(3).n_removed == 2  # the two cross: one is aligned, the other a moved block
     assert (one(4).n_removed, one(4).kept) == (6, "")
     assert one(6).n_removed == 0  # too few words for a block
+    assert one(42).n_removed == 0  # each partner shares less than a block
     assert [(one(i).n_lines, one(i).n_removed) for i in (7, 8, 9)] == [(0, 0)] * 3
     assert one(None).n_removed == 6
     assert [(r.n_removed, r.kept) for r in got[20]] == [(6, ""), (6, "")]
-    assert one(30).n_removed == 0  # repeats without an anchor
+    assert one(30).n_removed == 3  # each of the repeats is a block that an earlier document holds
+    assert (one(50).n_removed, one(51).n_removed) == (6, 0)
     assert lines.remove_shared_lines(frame(spark, [])).count() == 0
 
 
+def test_a_first_holder_that_repeats_the_passage(spark):
+    a = "\n".join(line(k) for k in range(4))
+    got = {r.doc_id: r.n_removed for r in lines.remove_shared_lines(frame(spark, [(1, f"{a}\nown words\n{a}"), (2, f"start\n{a}"), (3, f"{a}\nend")])).collect()}
+    assert got == {1: 0, 2: 4, 3: 4}
+
+
+def test_alignment_follows_the_order():
+    shared = [([k], k + 5, 1, 1) for k in range(4)] + [([8], 2, 1, 2), ([5, 11], 20, 2, 1)]
+    assert lines.align(shared) == [(0, 5, 4), (5, 20, 1), (8, 2, 2), (11, 20, 1)]
+    assert lines.units([4, 4, 4, 12, 1], 10) == [(0, 3), (1, 4), (2, 4), (3, 4), (3, 5)]
+
+
 def test_many_holders_give_one_partner_each(spark):
     rows = [(i, f"{line(0)}\n{line(1)}\nown {i}") for i in range(400)]
     got = lines.remove_shared_lines(frame(spark, rows)).groupBy("n_removed", "partners").count().collect()

@@ -230,32 +230,40 @@ class Automaton:
         name[order] = np.arange(len(order))
         return name[block[table[first[order]]]], [masks[x] for x in first[order]]
 
-    def scan(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-        """Mask of the rules that match inside each segment data[start:stop]; all segments step together."""
+    def scan(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position, rules) of every byte of the segments data[start:stop] on which some rule's match ends, in
+        order; all segments step together, each byte once."""
         size = stops - starts
         order = np.argsort(-size, kind="stable")
         at, left = starts[order].copy(), size[order]
         state = np.zeros(len(at), np.int32)
-        found = np.zeros(len(at), np.int64)
+        spots, masks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         alive = np.searchsorted(-left, -np.arange(int(left[0]) if len(left) else 0), side="left")
         for n in alive.tolist():  # n segments are longer than the number of steps so far
             if n <= _FEW:
                 break
             s = self.step[(state[:n] << 8) | data[at[:n]]]
             state[:n] = s
-            found[:n] |= self.rules[s]
+            met = self.rules[s]
+            if met.any():
+                hit = np.flatnonzero(met)
+                spots.append(at[hit])
+                masks.append(met[hit])
             at[:n] += 1
         for k in np.flatnonzero(at < stops[order]).tolist():  # few long ones: byte by byte
-            found[k] |= self._walk(int(state[k]), data[at[k] : stops[order[k]]])
-        out = np.empty_like(found)
-        out[order] = found
-        return out
-
-    def _walk(self, state: int, data: np.ndarray) -> int:
-        step, rules, found, s = self._lists()[0], self._lists()[1], 0, state
-        for b in data.tobytes():
+            found = self._walk(int(state[k]), data[at[k] : stops[order[k]]])
+            spots.append(np.array([x for x, _ in found], np.int64) + at[k])
+            masks.append(np.array([x for _, x in found], np.int64))
+        spot, mask = np.concatenate(spots), np.concatenate(masks)
+        order = np.argsort(spot)
+        return spot[order], mask[order]
+
+    def _walk(self, state: int, data: np.ndarray) -> list[tuple[int, int]]:
+        (step, rules), found, s = self._lists(), [], state
+        for k, b in enumerate(data.tobytes()):
             s = step[s][b]
-            found |= rules[s]
+            if rules[s]:
+                found.append((k, rules[s]))
         return found
 
     def _lists(self):

@@ -157,7 +157,33 @@ FROM documents LEFT JOIN leaks USING (doc_id)
 """
 
 
+def _secrets_sql() -> str:
+    """The rules as expressions: kind, expression (RE2), its group that must be long, least length; spans from what stands between matches."""
+    fold = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+    names = "|".join(fold(w) for w in ("password", "passwd", "secret", "token", "api_key", "apikey"))
+    kinds = [
+        ("assign", f"""({names})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12), ("access", "AKIA[A-Z0-9]+", 0, 18), ("hex", "[0-9a-f]+", 0, 16), ("github", "gh[oprsu]_[A-Za-z0-9]+", 0, 24),
+        ("slack", "xox[abprs]-[A-Za-z0-9-]+", 0, 15), ("stripe", "[rs]k_live_[A-Za-z0-9]+", 0, 24), ("google", "AIza[A-Za-z0-9_-]+", 0, 24), ("jwt", "eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 0, 36),
+        ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ]
+    found = " UNION ALL ".join(
+        f"""SELECT doc_id, {k} AS k, '{kind}' AS kind, start, start + size AS stop FROM (
+  SELECT doc_id, unnest(list_transform(sizes, lambda x, i: list_sum(gaps[1:i]) + coalesce(list_sum(sizes[1:i - 1]), 0)))::BIGINT AS start, unnest(sizes) AS size, unnest(tails) AS tail FROM (
+    SELECT doc_id, list_transform(string_split_regex(text, '{p}'), lambda x: length(x)) AS gaps, list_transform(regexp_extract_all(text, '{p}'), lambda x: length(x)) AS sizes,
+           list_transform(regexp_extract_all(text, '{p}', {group}), lambda x: length(x)) AS tails FROM t WHERE regexp_matches(text, '{p}'))) WHERE tail >= {least}"""
+        for k, (kind, p, group, least) in enumerate(kinds)
+    )
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+s AS ({found}),
+g AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS a, count(*) FILTER (WHERE k = 1) AS b, count(*) FILTER (WHERE k = 2) AS c,
+      string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) FILTER (WHERE k < 3) AS base, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM t LEFT JOIN g USING (doc_id)
+"""
+
+
 ORACLES = {
+    "op8_secret_scan": _secrets_sql(),
     "op3_line_dedup": rf"""
 WITH raw AS (SELECT doc_id, line, i FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
              WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),

@@ -1,14 +1,15 @@
 """Secret scan by one combined deterministic automaton.
 
-All rules are compiled into a single minimal byte automaton (:mod:`automaton`). One pass over the bytes
-tells, for every stretch of text between bytes that reset the automaton, which rules have a match in
-it; only those stretches are read again by the rule's own expression, for exact leftmost spans.
+Every rule is a head, up to the first byte of its tail, and a tail: the run of a byte class that begins
+there. All heads, and the literals that tell where heads of varying length begin, are compiled into a single
+minimal byte automaton (:mod:`automaton`). One pass over the bytes yields every position where a head ends;
+spans follow from those positions and from the bytes that end a run, without reading the text again.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
@@ -19,20 +20,34 @@ from pyspark.sql import functions as F
 from .automaton import Automaton
 from .common import as_bytes
 
-#: kind: (the rule for the automaton, with a bounded tail where the exact one counts further: repeats of
-#: a prefix inside such a tail would multiply states; the exact expression, the group that must be long, its least length).
-#: The first three are the base kinds; fixed values.
-_KEYWORD = rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-RULES: dict[str, tuple[str, bytes, int, int]] = {
-    "assign": (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{4}""", _KEYWORD, 2, 12),
-    "access": (r"AKIA[A-Z0-9]{4}", rb"AKIA[A-Z0-9]+", 0, 18),
-    "hex": (r"[0-9a-f]{16}", rb"[0-9a-f]+", 0, 16),
-    "github": (r"gh[oprsu]_[A-Za-z0-9]{4}", rb"gh[oprsu]_[A-Za-z0-9]+", 0, 24),
-    "slack": (r"xox[abprs]-[A-Za-z0-9-]{4}", rb"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
-    "stripe": (r"[rs]k_live_[A-Za-z0-9]{4}", rb"[rs]k_live_[A-Za-z0-9]+", 0, 24),
-    "google": (r"AIza[A-Za-z0-9_-]{4}", rb"AIza[A-Za-z0-9_-]+", 0, 24),
-    "jwt": (r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]", rb"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}", 0, 1),
-    "pem": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", rb"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+
+@dataclass(frozen=True)
+class Rule:
+    """``head``: expression up to and with the first byte of the tail, ``size`` bytes before that one, or 0 where
+    one of the literals ``marks`` (expression -> bytes) begins it. ``tail``: the byte class whose run it is,
+    none for a head that is the whole match. ``least``: bytes of the match, or of the tail if ``of_tail``."""
+
+    head: str
+    tail: str
+    least: int
+    size: int = 0
+    of_tail: bool = False
+    marks: dict[str, int] = field(default_factory=dict)
+
+
+_NAMES = {"password": 8, "passwd": 6, "secret": 6, "token": 5, "api_key": 7, "apikey": 6}
+_VALUE, _WORD, _URL = "A-Za-z0-9+/_.=-", "A-Za-z0-9", "A-Za-z0-9_-"
+#: The first three are the base kinds (fixed values).
+RULES: dict[str, Rule] = {
+    "assign": Rule(rf"""(?i:{"|".join(_NAMES)})["']?\x20*[:=]\x20*["']?[{_VALUE}]""", _VALUE, 12, of_tail=True, marks={f"(?i:{k})": n for k, n in _NAMES.items()}),
+    "access": Rule(r"AKIA[A-Z0-9]", "A-Z0-9", 18, 4),
+    "hex": Rule(r"[0-9a-f]{16}", "0-9a-f", 16),
+    "github": Rule(rf"gh[oprsu]_[{_WORD}]", _WORD, 24, 4),
+    "slack": Rule(r"xox[abprs]-[A-Za-z0-9-]", "A-Za-z0-9-", 15, 5),
+    "stripe": Rule(rf"[rs]k_live_[{_WORD}]", _WORD, 24, 8),
+    "google": Rule(rf"AIza[{_URL}]", _URL, 24, 4),
+    "jwt": Rule(rf"eyJ[{_URL}]+\.[{_URL}]+\.[{_URL}]", _URL, 36, marks={"eyJ": 3}),
+    "pem": Rule(r"-----BEGIN [A-Z ]*PRIVATE KEY-----", "", 1, marks={"-----BEGIN ": 11}),
 }
 BASE = ("assign", "access", "hex")
 #: Bytes that are stepped at a time.
@@ -41,17 +56,19 @@ _CHUNK = 1 << 22
 
 @lru_cache(maxsize=1)
 def _compiled():
-    return Automaton([r[0] for r in RULES.values()]), [(k, re.compile(r[1]), r[2], r[3]) for k, r in RULES.items()]
-
-
-def _spans_between(text: bytes, start: int, stop: int, mask: int):
-    """Exact (start byte, rule, end byte) in a stretch, leftmost and non-overlapping for each rule."""
-    rules = _compiled()[1]
-    for k, (_, pattern, group, least) in enumerate(rules):
-        if mask >> k & 1:
-            for m in pattern.finditer(text, start, stop):
-                if m.end(group) - m.start(group) >= least:
-                    yield m.start(), k, m.end()
+    """The automaton; for each kind its rule, bit, (bit, bytes) of its literals, and the bytes outside its tail."""
+    heads = [r.head for r in RULES.values()]
+    marks = sorted({x for r in RULES.values() for x in r.marks.items()})
+    machine = Automaton(heads + [m for m, _ in marks])
+    bit = {m: 1 << (len(heads) + k) for k, (m, _) in enumerate(marks)}
+    plans = []
+    for k, (kind, r) in enumerate(RULES.items()):
+        inside = np.zeros(256, bool)
+        if r.tail:
+            one = Automaton([f"[{r.tail}]"])
+            inside = one.rules[one.step[:256]] > 0
+        plans.append((kind, r, 1 << k, [(bit[m], n) for m, n in r.marks.items()], ~inside))
+    return machine, plans
 
 
 def find_secrets(texts: list[bytes]) -> list[list[tuple[str, int, int]]]:
@@ -68,28 +85,50 @@ def find_secrets(texts: list[bytes]) -> list[list[tuple[str, int, int]]]:
     return out
 
 
+def _starts(rule: Rule, hit: np.ndarray, outside: np.ndarray, spot: np.ndarray, mask: np.ndarray, marks) -> np.ndarray:
+    """Where the matches begin whose heads end on the bytes ``hit``; ``outside``: bytes that end a run of the tail."""
+    if rule.size:
+        return hit - rule.size
+    if not marks:  # the whole match is a run
+        return outside[np.searchsorted(outside, hit) - 1] + 1
+    begins = np.sort(np.concatenate([spot[mask & b > 0] + 1 - n for b, n in marks]))
+    if rule.tail != _URL:  # the literal next before
+        return begins[np.searchsorted(begins, hit) - 1]
+    dots = np.searchsorted(outside, hit) - 1  # the first literal in the run before the run before
+    return begins[np.searchsorted(begins, outside[dots - 2] + 1)]
+
+
 def _scan(texts: list[bytes], out: list, base: int) -> None:
-    machine, rules = _compiled()
-    joined = b"\x00".join(texts) + b"\x00"  # a reset byte for these rules, so texts stay apart
+    machine, plans = _compiled()
+    joined = b"\x00" + b"\x00".join(texts) + b"\x00"  # a reset byte for these rules, so texts stay apart
     data = np.frombuffer(joined, np.uint8)
     cuts = np.flatnonzero(machine.resets[data])
-    starts = np.concatenate(([0], cuts[:-1] + 1))
-    some = cuts > starts
-    starts, stops = starts[some], cuts[some]
-    found = machine.scan(data, starts, stops)
-    hits = np.flatnonzero(found)
-    if not len(hits):
-        return
-    begins = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-    owner = np.searchsorted(begins, starts[hits], side="right") - 1
-    names = list(RULES)
+    starts, stops = cuts[:-1] + 1, cuts[1:]
+    some = stops > starts
+    spot, mask = machine.scan(data, starts[some], stops[some])
+    spans = []
+    for k, (_, rule, own, marks, not_tail) in enumerate(plans):
+        hit = spot[mask & own > 0]
+        if not len(hit):
+            continue
+        outside = np.flatnonzero(not_tail[data])
+        ends = outside[np.searchsorted(outside, hit)] if rule.tail else hit + 1
+        done = 0
+        for s, h, e in zip(_starts(rule, hit, outside, spot, mask, marks).tolist(), hit.tolist(), ends.tolist(), strict=True):
+            if s >= done:  # leftmost, non-overlapping; a match that is too short takes its place as well
+                done = e
+                if e - (h if rule.of_tail else s) >= rule.least:
+                    spans.append((s, k, e))
+    begins = np.concatenate(([1], 1 + np.cumsum([len(t) + 1 for t in texts])))
+    spans.sort()
+    owner = (np.searchsorted(begins, [s for s, *_ in spans], side="right") - 1).tolist()
     by: dict[int, list] = {}
-    for h, d in zip(hits.tolist(), owner.tolist(), strict=True):
-        by.setdefault(d, []).extend(_spans_between(joined, int(starts[h]), int(stops[h]), int(found[h])))
-    for d, spans in by.items():
+    for d, x in zip(owner, spans, strict=True):
+        by.setdefault(d, []).append(x)
+    for d, own in by.items():
         first = int(begins[d])
         points = np.concatenate(([0], np.cumsum((data[first : int(begins[d + 1]) - 1] & 0xC0) != 0x80)))
-        out[base + d] = [(names[k], int(points[s - first]), int(points[e - first])) for s, k, e in sorted(spans)]
+        out[base + d] = [(plans[k][0], int(points[s - first]), int(points[e - first])) for s, k, e in own]
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import string
+import time
 import zlib
 
 import numpy as np
@@ -44,26 +45,39 @@ SECRET_TEXTS = [
     "deadbeefdeadbeef0", "0123456789abcdeF0123456789abcdef01", "secret : : abcdefghijklmnop", "passwd\"  =  'aaaaaaaaaaaa'", "password=short token=longenoughvalue1", "ſecret=abcdefghijklmn K", "a" * 5000, "token=" * 50 + "x" * 12,
     "ghp_" + "a1" * 18, "-----BEGIN RSA PRIVATE KEY-----",
 ]
-BASE = {"assign": (r"(?a)((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12), "access": (r"AKIA[A-Z0-9]+", 0, 18), "hex": (r"[0-9a-f]+", 0, 16)}
+KINDS = {
+    "assign": (r"(?a)((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12), "access": (r"AKIA[A-Z0-9]+", 0, 18), "hex": (r"[0-9a-f]+", 0, 16),
+    "github": (r"gh[oprsu]_[A-Za-z0-9]+", 0, 24), "slack": (r"xox[abprs]-[A-Za-z0-9-]+", 0, 15), "stripe": (r"[rs]k_live_[A-Za-z0-9]+", 0, 24), "google": (r"AIza[A-Za-z0-9_-]+", 0, 24),
+    "jwt": (r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 36), "pem": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+}
 
 
 def brute_secrets(t):
-    t = t or ""
-    ascii_only = "".join(c if c.isascii() else "\x01" for c in t)  # same code points, no case folding beyond ASCII
-    out = [(m.start(), k, name, m.end()) for k, (name, (p, g, least)) in enumerate(BASE.items()) for m in re.finditer(p, ascii_only) if m.end(g) - m.start(g) >= least]
+    ascii_only = "".join(c if c.isascii() else "\x01" for c in t or "")  # same code points, no case folding beyond ASCII
+    out = [(m.start(), k, name, m.end()) for k, (name, (p, g, least)) in enumerate(KINDS.items()) for m in re.finditer(p, ascii_only) if m.end(g) - m.start(g) >= least]
     return [(name, s, e) for s, _, name, e in sorted(out)]
 
 
 def test_secrets_match_brute_force(spark):
     rng = np.random.default_rng(3)
-    parts = ["token", "=", ":", " ", "'", "AKIA", "ABC123", "deadbeef", "0123", "xyz.", "secret", "-", "\n", "é", "api_key", "apikey", "xoxb-", "ghp_"]
-    texts = SECRET_TEXTS + ["".join(rng.choice(parts, 30)) for _ in range(400)] + [None]
+    parts = ["token", "=", ":", " ", "'", "AKIA", "ABC123", "deadbeef", "0123", "xyz.", "secret", "-", "\n", "é", "api_key", "apikey", "xoxb-", "ghp_", "sk_live_", "eyJ", "AIza", "-----BEGIN ", "RSA ", "PRIVATE KEY-----", ".", "a1b2c3d4e5f6", "_", "eyJhbGciOiJIUzI1.", "token = "]
+    texts = SECRET_TEXTS + ["".join(rng.choice(parts, 30)) for _ in range(1500)] + [None]
     rows = list(enumerate(texts))
     got = {r.doc_id: r.secrets for r in secrets.scan_secrets(frame(spark, rows)).collect()}
     for i, t in rows:
-        assert [(x.kind, x.start, x.end) for x in got[i] if x.kind in secrets.BASE] == brute_secrets(t), t
+        assert [(x.kind, x.start, x.end) for x in got[i]] == brute_secrets(t), t
     assert {x.kind for x in got[15]} >= {"github"} and [x.kind for x in got[16]] == ["pem"]
+    assert {x.kind for i, _ in rows for x in got[i]} == set(KINDS)
     assert secrets.redact("a token=abcdefghijkl b", [("assign", 2, 20)]) == "a [assign] b"
+    assert secrets.scan_secrets(frame(spark, [])).count() == 0
+
+
+def test_secrets_of_very_long_texts_take_linear_time():
+    texts = [b"eyJ" * 1_000_000 + b".a", b"token=" * 300_000 + b"x" * 12, b"0" * 2_000_000 + b" AKIA" + b"B" * 14, b"eyJa.b." * 300_000]
+    began = time.perf_counter()
+    got = secrets.find_secrets(texts)
+    assert time.perf_counter() - began < 60
+    assert [x[:2] for x in got[:3]] == [[], [("assign", 0, 1_800_012)], [("hex", 0, 2_000_000), ("access", 2_000_001, 2_000_019)]]
 
 
 def test_automaton_is_minimal_and_right():
@@ -72,8 +86,9 @@ def test_automaton_is_minimal_and_right():
     rng = np.random.default_rng(5)
     for _ in range(300):
         s = "".join(rng.choice(list("abcxX01qrst "), 12)).encode()
-        found = int(m.scan(np.frombuffer(s, np.uint8), np.array([0]), np.array([len(s)]))[0])
-        assert found == sum(1 << k for k, r in enumerate(rules) if re.search(r.encode(), s))
+        spot, mask = m.scan(np.frombuffer(s, np.uint8), np.array([0]), np.array([len(s)]))
+        ends = {e: sum(1 << k for k, r in enumerate(rules) if re.search(rb"(?:" + r.encode() + rb")\Z", s[: e + 1])) for e in range(len(s))}
+        assert dict(zip(spot.tolist(), mask.tolist(), strict=True)) == {e: n for e, n in ends.items() if n}
     assert m.n_states < 20
 
 

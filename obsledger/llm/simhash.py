@@ -4,9 +4,10 @@ Fingerprints within ``distance`` bits agree on at least one of ``distance + 1``
 sought among equal blocks only and verified by Hamming distance. Copies meet as one fingerprint. A
 block that too many fingerprints share is split again by the same rule on its remaining bits, until
 its groups are small enough for one task's memory: no candidate is dropped at any size. Each group
-yields a spanning set of its links, never all pairs; components follow from those. Where links are
-verified, each node's nearest goes first, then every other pair that no verified link connects; there,
-texts meet by bands of MinHash values too, since fingerprints part near copies of lesser similarity.
+yields a spanning set of its links, never all pairs; components follow from those. Near copies of lesser
+similarity differ in more bits than blocks can bear, so the near-copy stage seeks candidates by bands of
+MinHash values as well and verifies the shingles of both kinds: each node's nearest fingerprint and the
+least node of each of its bands first, then every other pair of a band that no verified link connects.
 """
 
 from __future__ import annotations
@@ -17,17 +18,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, drop_staged, join_groups, rows_of, stage
+from .common import as_bytes, drop_staged, join_groups, maybe_in, rows_of, stage
 from .graph import connected_components
 
 #: Most fingerprints that are compared with each other in one group.
 GROUP = 4096
-#: The near-copy stage: bits that one of two fingerprints may differ in, and both together, for a candidate;
-#: the share of common word shingles that makes it a near copy.
-STAGE_DISTANCE, STAGE_TOTAL, STAGE_SHARE = 7, 22, 0.8
+#: The near-copy stage: bits in which fingerprints of candidates differ at most; the share of common word shingles of a near copy.
+STAGE_DISTANCE, STAGE_SHARE = 3, 0.8
 #: The near-copy stage: equal bands of MinHash values make a candidate as well; at similarity 0.8 no band is
 #: equal with a chance of (1 - 0.8 ** 4) ** 40, under one in 10 ** 9.
 BANDS, BAND_ROWS = 40, 4
+#: Of a pair's MinHash values so many must agree (in their low byte) before its shingles are compared; at
+#: similarity 0.8 fewer do with a chance under one in 10 ** 9.
+AGREE = 96
 #: Rows up to which the documents to verify are found by a broadcast of their ids (16 bytes each).
 BROADCAST_ROWS = 500_000
 #: Links of a group that are held before they are folded into its components.
@@ -48,8 +51,8 @@ def _remixed(h: np.ndarray) -> np.ndarray:
 _MIX = np.random.default_rng(7).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64) | np.uint64(1)
 
 
-def _bands(hashes: list[np.ndarray]) -> list[int]:
-    """A signed 64-bit key for each band of MinHash values over the shingles' hashes."""
+def _bands(hashes: list[np.ndarray]) -> tuple[list[int], bytes]:
+    """A signed 64-bit key for each band of MinHash values over the shingles' hashes, and the low byte of each value."""
     least = np.full(BANDS * BAND_ROWS, _ALL, np.uint64)
     for h in hashes:
         for at in range(0, len(h), 1024):
@@ -57,54 +60,69 @@ def _bands(hashes: list[np.ndarray]) -> list[int]:
     key = np.arange(BANDS, dtype=np.uint64)
     for column in least.reshape(BANDS, BAND_ROWS).T:
         key = _remixed(key ^ column)
-    return key.view(np.int64).tolist()
+    return key.view(np.int64).tolist(), _remixed(least).astype(np.uint8).tobytes()
 
 
-def fingerprint(text: bytes, width: int = 3, pair: bool = False, bands: list[int] | None = None) -> tuple[int, int]:
-    """64-bit SimHash over word shingles (repeats count) of A-Z lower-cased UTF-8 text, unsigned, and a second
-    independent one if ``pair`` (else 0). ``bands`` receives the keys of the MinHash bands.
+def _shingle_hashes(text: bytes, width: int):
+    """Hashes of the word shingles of A-Z lower-cased UTF-8 text, repeats included, in arrays of bounded size.
 
-    Words are runs without white space; fewer words than ``width`` make one shingle; no word gives 0.
+    Words are runs without white space; fewer words than ``width`` make one shingle; no word gives none.
     """
     words = text.lower().split()
     if not words:
-        return 0, 0
+        return
     digest = xxhash.xxh64_intdigest
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     width = min(width, len(words))
     starts = np.concatenate(([0], ends[:-width])).tolist()
     stops = (ends[width - 1 :] - 1).tolist()
-    total, other, n, hashes = np.zeros(64, np.int64), np.zeros(64, np.int64), len(starts), []
-    for at in range(0, n, 1 << 16):  # bounds the memory of the bit counts
-        h = np.array([digest(joined[a:b], 42) for a, b in zip(starts[at : at + (1 << 16)], stops[at : at + (1 << 16)], strict=True)], np.uint64)
+    for at in range(0, len(starts), 1 << 16):
+        yield np.array([digest(joined[a:b], 42) for a, b in zip(starts[at : at + (1 << 16)], stops[at : at + (1 << 16)], strict=True)], np.uint64)
+
+
+def _simhash(hashes) -> int:
+    """The fingerprint of shingle hashes: a bit is 1 if set in over half of them; 0 for none."""
+    total, n = np.zeros(64, np.int64), 0
+    for h in hashes:
         total += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-        if pair:
-            other += np.unpackbits(_remixed(h).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-        if bands is not None:
-            hashes.append(h)
-    if bands is not None:
-        bands += _bands(hashes)
-    return _bits(total, n), _bits(other, n)
-
-
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, pair: bool = False) -> DataFrame:
-    """(id, fp, other): the signed 64-bit fingerprints of every row; null text counts as empty. With ``pair``
-    also ``bands``, the keys of its MinHash bands."""
+        n += len(h)
+    return _bits(total, n) if n else 0
+
+
+def fingerprint(text: bytes, width: int = 3) -> int:
+    """64-bit SimHash over the word shingles of a text, unsigned."""
+    return _simhash(_shingle_hashes(text, width))
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+    """(id, fp): the signed 64-bit fingerprint of every row's whole text; null text counts as empty."""
     kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            fps, bands = [], []
-            for (t,) in rows_of([batch.select(["text"])], 64):
-                keys = [] if pair else None
-                fps.append(fingerprint(t or b"", width, pair, keys))
-                bands.append(keys)
-            fps = np.array(fps, np.uint64).reshape(-1, 2)
-            cols = [batch.column("id"), pa.array(fps[:, 0].copy().view(np.int64)), pa.array(fps[:, 1].copy().view(np.int64))]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(bands, pa.list_(pa.int64()))] if pair else cols, ["id", "fp", "other", "bands"][: 4 if pair else 3])
+            fps = np.array([fingerprint(t or b"", width) for (t,) in rows_of([batch.select(["text"])], 64)], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64))], ["id", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long, other long" + (", bands array<long>" if pair else ""))
+    return docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+
+
+def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(row, id, fp, own, bands, low): the hash of id and text, the fingerprint, a hash of all shingles with their
+    repeats, the keys of the MinHash bands, the low bytes of the MinHash values."""
+    kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for (text,) in rows_of([batch.select(["text"])], 64):
+                hashes = list(_shingle_hashes(text, width))
+                out.append((_simhash(hashes), sum(int(_remixed(h).sum(dtype=np.uint64)) for h in hashes) & _ALL, *_bands(hashes)))
+            numbers = [pa.array(np.array([r[k] for r in out], np.uint64).view(np.int64)) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), *numbers, pa.array([r[2] for r in out], pa.list_(pa.int64())), pa.array([r[3] for r in out], pa.binary())], ["row", "id", "fp", "own", "bands", "low"])
+
+    rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"), F.col(id_col).alias("id"), as_bytes(text_col).alias("text"))
+    return rows.mapInArrow(run, f"row long, id {kind}, fp long, own long, bands array<long>, low binary")
 
 
 def _split(mask: int, parts: int) -> list[int]:
@@ -121,11 +139,12 @@ def _keys(masks: list[int]):
     return F.explode(F.array(*(F.struct(F.lit(_signed(m)).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for m in masks))).alias("k")
 
 
-def _links_in(distance: int, total: int | None):
+def _links_in(distance: int, direct: bool):
     """Per group of equal (mask, key), rows in that order: links that connect whatever near pairs would."""
 
     def fold(root, us, vs):
-        u, v = np.concatenate(us), np.concatenate(vs)
+        """Roots of all links so far; the earlier ones live on as links to their roots."""
+        u, v = np.concatenate((np.arange(len(root)), *us)), np.concatenate((root, *vs))
         while True:
             low = np.minimum(root[u], root[v])
             was = root.copy()
@@ -135,26 +154,25 @@ def _links_in(distance: int, total: int | None):
             if (root == was).all():
                 return root
 
-    def solve(mask, key, node, fp, other):
+    def solve(mask, key, node, fp):
         new = np.flatnonzero(np.concatenate(([True], (mask[1:] != mask[:-1]) | (key[1:] != key[:-1]))))
         group = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(fp))))
-        a, b = fp.view(np.uint64), other.view(np.uint64)
+        a = fp.view(np.uint64)
         root, at = np.arange(len(fp)), np.arange(len(fp))
         us, vs, held = [], [], 0
-        best, mate, seen = np.full(len(fp), 255, np.uint8), np.full(len(fp), -1), np.zeros(len(fp), np.int64)
+        best, mate = np.full(len(fp), 255, np.uint8), np.arange(len(fp))
         for d in range(1, len(fp)):
             at = at[: np.searchsorted(at, len(fp) - d)]
             at = at[group[at] == group[at + d]]
             if not len(at):
                 break
-            near = at[np.bitwise_count(a[at] ^ a[at + d]) <= distance]
+            bits = np.bitwise_count(a[at] ^ a[at + d])
+            near, bits = at[bits <= distance], bits[bits <= distance]
             if not len(near):
                 continue
-            if total is not None:  # each one's nearest earlier neighbour, a direct pair that can be verified
-                both = np.bitwise_count(a[near] ^ a[near + d]) + np.bitwise_count(b[near] ^ b[near + d])
-                seen[near[both <= total] + d] += 1
-                closer = (both <= total) & (both < best[near + d])
-                best[near[closer] + d], mate[near[closer] + d] = both[closer], near[closer]
+            if direct:  # each one's nearest earlier neighbour, a pair that can be verified
+                closer = bits < best[near + d]
+                best[near[closer] + d], mate[near[closer] + d] = bits[closer], near[closer]
                 continue
             us.append(near)
             vs.append(near + d)
@@ -163,17 +181,17 @@ def _links_in(distance: int, total: int | None):
                 root, us, vs, held = fold(root, us, vs), [], [], 0
         if us:
             root = fold(root, us, vs)
-        own = np.flatnonzero(mate >= 0) if total is not None else np.flatnonzero(root != np.arange(len(fp)))
-        links = node[own], node[(mate if total is not None else root)[own]]
-        return links if total is None else (*links, mask[own], key[own], seen[own] > 1)
+        root = mate if direct else root
+        own = np.flatnonzero(root != np.arange(len(fp)))
+        return node[own], node[root[own]]
 
     def run(batches):
         def out(cols):
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in solve(*cols)], ["u", "v", "mask", "key", "more"][: 2 if total is None else 5])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in solve(*cols)], ["u", "v"])
 
         held = None
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in range(5)]
+            now = [batch.column(c).to_numpy() for c in range(4)]
             held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
             m, k = held[:2]
             last = np.flatnonzero((m != m[-1]) | (k != k[-1]))
@@ -199,33 +217,30 @@ def _cuts(mask, key, size: int = 1 << 13):
         at = stop
 
 
-def near_links(nodes: DataFrame, distance: int = 3, group: int = GROUP, total: int | None = None) -> DataFrame:
-    """Links (u, v) between ``nodes`` (node, fp, other) that connect all pairs whose ``fp`` differ in at most
+def near_links(nodes: DataFrame, distance: int = 3, group: int = GROUP, direct: bool = False) -> DataFrame:
+    """Links (u, v) between ``nodes`` (node, fp) that connect all pairs whose ``fp`` differ in at most
     ``distance`` bits: not every near pair appears, but any two that do are joined by a chain of near pairs.
 
-    With ``total`` the links are candidates (u, v, mask, key, more): of the pairs whose two fingerprints also
-    differ in at most ``total`` bits together, each node's nearest in every block it is in, and whether the
-    block holds more; those are for :func:`rest_of_links`.
+    With ``direct`` every link is a near pair itself: each node's nearest earlier one in every block it is in.
     """
-    schema = "u long, v long" if total is None else "u long, v long, mask long, key long, more boolean"
     parts, masks = distance + 1, _split(0, distance + 1)
-    rows = nodes.select("node", "fp", "other", _keys(masks)).select("k.mask", "k.key", "node", "fp", "other")
+    rows = nodes.select("node", "fp", _keys(masks)).select("k.mask", "k.key", "node", "fp")
     found = None
     while True:
         heavy = stage(rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > group), "simhash-heavy")
         hot = [r["mask"] & _ALL for r in heavy.select("mask").distinct().collect()]  # masks, a handful by construction
         light = rows.join(heavy, ["mask", "key"], "left_anti") if hot else rows
-        links = light.select(*rows.columns).repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_links_in(distance, total), schema)
+        links = light.select(*rows.columns).repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_links_in(distance, direct), "u long, v long")
         found = links if found is None else found.unionByName(links)
         if not hot:
             return found
         subs = nodes.sparkSession.createDataFrame([(_signed(m), _signed(x)) for m in hot for x in _split(m, parts)], "mask long, sub long")
-        rows = rows.join(heavy, ["mask", "key"], "left_semi").join(F.broadcast(subs), "mask").select(F.col("sub").alias("mask"), F.col("fp").bitwiseAND(F.col("sub")).alias("key"), "node", "fp", "other")
+        rows = rows.join(heavy, ["mask", "key"], "left_semi").join(F.broadcast(subs), "mask").select(F.col("sub").alias("mask"), F.col("fp").bitwiseAND(F.col("sub")).alias("key"), "node", "fp")
         rows = stage(rows, "simhash-split")
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(node, shingles): the distinct word shingles of each row's whole text as 32-bit hashes."""
+    """(node, low, shingles): the distinct word shingles of each row's whole text as 32-bit hashes."""
 
     def run(batches):
         for batch in batches:
@@ -234,45 +249,47 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
                 words = text.lower().split()
                 k = min(width, len(words))
                 sets.append(sorted({xxhash.xxh32_intdigest(b" ".join(words[i : i + k])) - (1 << 31) for i in range(len(words) - k + 1)}) if words else [])
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int32()))], ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("low"), pa.array(sets, pa.list_(pa.int32()))], ["node", "low", "shingles"])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, shingles array<int>")
+    return docs.select("node", "low", "text").mapInArrow(run, "node long, low binary, shingles array<int>")
 
 
 def sets_of(links: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(node, shingles) of the nodes of ``links``, from each node's row of least id."""
+    """(node, low, shingles) of the nodes of ``links``, from the row that stands for each."""
     used = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    reps = stage(used.join(nodes, "node").select("node", F.col("least").alias("id")), "simhash-reps")
-    side = F.broadcast(reps) if reps.count() <= BROADCAST_ROWS else reps
-    texts = docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text")).join(side, "id")
+    reps = stage(used.join(nodes, "node").select("node", "low", F.col("least.row").alias("row")), "simhash-reps")
+    texts = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"), as_bytes(text_col).alias("text"))
+    texts = texts.join(F.broadcast(reps), "row") if reps.count() <= BROADCAST_ROWS else texts.where(maybe_in(reps, "row")).join(reps, "row")
     return stage(shingle_sets(texts, width).dropDuplicates(["node"]), "simhash-shingles")
 
 
 def verified(links: DataFrame, sets: DataFrame, share: float) -> DataFrame:
     """The links whose documents share at least ``share`` of their word shingles."""
-    pairs = links.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+    side = lambda name, set_: sets.select(F.col("node").alias(name), F.col("shingles").alias(set_))
+    pairs = links.join(side("u", "a"), "u").join(side("v", "b"), "v")
     common = F.size(F.array_intersect("a", "b"))
     return pairs.where(common >= F.lit(share) * (F.size("a") + F.size("b") - common)).select("u", "v")
 
 
-def _rest_in(distance: int, total: int, share: float):
-    """Per group of equal (mask, key): every pair within the limits that no link joins yet, verified in place."""
+def _rest_in(share: float):
+    """Per group of equal (key, tile): every pair that no link joins yet and whose MinHash values agree enough, verified in place."""
 
     def solve(rows):
-        node, root = np.array([r[0] for r in rows]), np.array([r[3] for r in rows])
-        a, b = (np.array([r[k] for r in rows], np.int64).view(np.uint64) for k in (1, 2))
-        sets, sizes = [r[4] for r in rows], np.array([len(r[4]) for r in rows])
+        node, root = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+        low = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1)
+        sets, sizes = [r[3] for r in rows], np.array([len(r[3]) for r in rows])
         for d in range(1, len(rows)):
-            one = np.bitwise_count(a[:-d] ^ a[d:])
-            near = (one <= distance) & (one + np.bitwise_count(b[:-d] ^ b[d:]) <= total) & (root[:-d] != root[d:])
-            near &= np.minimum(sizes[:-d], sizes[d:]) >= share * np.maximum(sizes[:-d], sizes[d:])
-            for i in np.flatnonzero(near).tolist():
-                if root[i] == root[i + d]:
-                    continue
-                common = len(np.intersect1d(sets[i], sets[i + d], assume_unique=True))
-                if common >= share * (sizes[i] + sizes[i + d] - common):
-                    root[root == root[i + d]] = root[i]
-                    yield int(node[i + d]), int(node[i])
+            near = (root[:-d] != root[d:]) & (np.minimum(sizes[:-d], sizes[d:]) >= share * np.maximum(sizes[:-d], sizes[d:]))
+            near = np.flatnonzero(near)
+            for at in range(0, len(near), 4096):
+                part = near[at : at + 4096]
+                for i in part[(low[part] == low[part + d]).sum(1) >= AGREE].tolist():
+                    if root[i] == root[i + d]:
+                        continue
+                    common = len(np.intersect1d(sets[i], sets[i + d], assume_unique=True))
+                    if common >= share * (sizes[i] + sizes[i + d] - common):
+                        root[root == root[i + d]] = root[i]
+                        yield int(node[i + d]), int(node[i])
 
     def run(batches):
         def out(rows):
@@ -281,35 +298,20 @@ def _rest_in(distance: int, total: int, share: float):
 
         now, held = None, []
         for batch in batches:
-            ids = [batch.column(c).to_numpy().tolist() for c in range(6)]
-            sets, ends = batch.column(6).flatten().to_numpy(), np.cumsum(batch.column(6).value_lengths().to_numpy()).tolist()
-            for k, (mask, key, *row) in enumerate(zip(*ids, strict=True)):
-                if (mask, key) != now:
+            ids, low = [batch.column(c).to_numpy().tolist() for c in range(4)], batch.column(4).to_pylist()
+            sets, ends = batch.column(5).flatten().to_numpy(), np.cumsum(batch.column(5).value_lengths().to_numpy()).tolist()
+            for k, (key, tile, node, root) in enumerate(zip(*ids, strict=True)):
+                if (key, tile) != now:
                     if held:
                         yield out(held)
-                    now, held = (mask, key), []
-                held.append((*row, sets[ends[k - 1] if k else 0 : ends[k]]))
+                    now, held = (key, tile), []
+                held.append((node, root, low[k], sets[ends[k - 1] if k else 0 : ends[k]]))
         if held:
             yield out(held)
 
     return run
 
 
-def rest_of_links(candidates: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, distance: int, total: int, share: float) -> DataFrame:
-    """The verified links that the nearest lack: of the blocks where a node has more candidates than its nearest,
-    all pairs within the limits whose ends have other ``roots`` so far."""
-    blocks = stage(candidates.where("more").select("mask", "key").distinct(), "simhash-open")
-    masks = [r["mask"] & _ALL for r in blocks.select("mask").distinct().collect()]  # a handful by construction
-    if not masks:
-        return candidates.select("u", "v").limit(0)
-    rows = nodes.select("node", "fp", "other", _keys(masks)).select("k.mask", "k.key", "node", "fp", "other").join(blocks, ["mask", "key"], "left_semi")
-    rows = rows.join(sets.select("node"), "node", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = stage(rows, "simhash-open-rows")
-    apart = rows.groupBy("mask", "key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("mask", "key")
-    rows = rows.join(apart, ["mask", "key"], "left_semi").join(sets, "node").select("mask", "key", "node", "fp", "other", "root", "shingles")
-    return rows.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_rest_in(distance, total, share), "u long, v long")
-
-
 def band_links(nodes: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
     """Candidates (u, v) that lead each node to the least of each band key it has, and the keys (key, v, n)."""
     keys = nodes.select("node", F.explode("bands").alias("key"))
@@ -328,58 +330,54 @@ def rest_of_bands(groups: DataFrame, nodes: DataFrame, sets: DataFrame, roots: D
     parts = F.ceil(F.col("n") / (group // 2)).cast("long")
     own = F.pmod(F.xxhash64("node"), parts)
     tiles = F.when(F.col("n") <= group, F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda p: F.least(p, own) * parts + F.greatest(p, own)))
-    zero = F.lit(0).cast("long")
-    dealt = open_rows.select(F.col("key").alias("mask"), F.explode(tiles).alias("key"), "node", zero.alias("fp"), zero.alias("other"), "root").join(sets, "node")
-    dealt = dealt.select("mask", "key", "node", "fp", "other", "root", "shingles")
-    return dealt.repartition("mask", "key").sortWithinPartitions("mask", "key", "node").mapInArrow(_rest_in(64, 128, share), "u long, v long")
-
-
-def components(docs: DataFrame, id_col: str, text_col: str, width: int, distance: int, total: int | None = None, share: float = STAGE_SHARE) -> DataFrame:
-    """(id, fp, component_id) of every row; see :func:`near_dedup`. With ``total``, each of two fingerprints in
-    turn and the MinHash bands seek candidates, and those that share ``share`` of their shingles link."""
-    rows = fingerprints(docs, id_col, text_col, width, total is not None)
-    rows = stage(rows.withColumn("node", F.col("fp") if total is None else F.xxhash64("fp", "other")), "simhash-fp")
-    n = rows.count()
-    distinct = stage(rows.groupBy("node", "fp", "other").agg(F.min("id").alias("least"), F.count("*").alias("n"), *([] if total is None else [F.min_by("bands", "id").alias("bands")])), "simhash-distinct")
-    links = near_links(distinct, distance, total=total)
-    if total is not None:
-        swapped = distinct.select("node", F.col("other").alias("fp"), F.col("fp").alias("other"))
-        first, second = stage(links, "simhash-candidates"), stage(near_links(swapped, distance, total=total), "simhash-candidates")
-        band_rows = distinct.count() * BANDS
-        stars, groups = band_links(distinct, band_rows)
-        both = stage(first.unionByName(second).select("u", "v").unionByName(stars).distinct(), "simhash-pairs")
-        sets = sets_of(both, distinct, docs, id_col, text_col, width)
-        links = stage(verified(both, sets, share), "simhash-nearest")
-        roots = stage(connected_components(links), "simhash-nearest-roots")
-        for candidates, nodes in ((first, distinct), (second, swapped)):
-            links = links.unionByName(rest_of_links(candidates, nodes, sets, roots, distance, total, share))
-        links = links.unionByName(rest_of_bands(groups, distinct, sets, roots, share, band_rows))
-    links = stage(links, "simhash-links")
-    roots = connected_components(links)
-    drop_staged(links)
-    linked = stage(distinct.drop("bands").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-roots")
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
-    named = stage(join_groups(linked.select("node", "root", "n"), least, "root", "members", n).select("node", "n", "component_id"), "simhash-named")
-    return join_groups(rows.select("id", "fp", "node"), named, "node", "n", n).select("id", "fp", "component_id")
+    dealt = open_rows.select("key", F.explode(tiles).alias("tile"), "node", "root").join(sets, "node").select("key", "tile", "node", "root", "low", "shingles")
+    return dealt.repartition("key", "tile").sortWithinPartitions("key", "tile", "node").mapInArrow(_rest_in(share), "u long, v long")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3, total: int | None = None) -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3) -> DataFrame:
     """One row per input row: the id, ``fingerprint`` (16 hex digits), ``component_id``.
 
     Rows link when their fingerprints differ in at most ``distance`` bits; ``component_id`` is the
     smallest id reachable over links. Null text counts as empty; texts without words have fingerprint
     zero and link like any other; null ids never become a component id unless a component has no other.
+    Repeated rows share their component; no rows in, no rows out.
     """
-    out = components(docs, id_col, text_col, width, distance, total)
-    return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    rows = stage(fingerprints(docs, id_col, text_col, width), "simhash-fp")
+    n = rows.count()
+    distinct = stage(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")).withColumn("node", F.col("fp")), "simhash-distinct")
+    links = stage(near_links(distinct, distance), "simhash-links")
+    roots = connected_components(links)
+    drop_staged(links)
+    linked = stage(distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-roots")
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
+    named = stage(join_groups(linked.select("fp", "root", "n"), least, "root", "members", n).select("fp", "n", "component_id"), "simhash-named")
+    found = join_groups(rows, named, "fp", "n", n)
+    return found.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = STAGE_DISTANCE, total: int = STAGE_TOTAL) -> DataFrame:
-    """One row of ``docs`` for each group of near copies: of the rows that ``total`` links, the one of least id.
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = STAGE_DISTANCE, share: float = STAGE_SHARE) -> DataFrame:
+    """One document of ``docs`` for each group of near copies, with its own columns.
 
-    Rows alike in id are one document: they stay or go together. Null-id rows merge only with rows of the
-    same fingerprints.
+    Documents link that share ``share`` of their distinct word shingles (texts without words have none, and link
+    with each other); of each group the row of least id stays, null ids last, of equal ids the one of least hash.
+    Rows alike in id and text are one document: they stay or go together. Only rows that may go shuffle their text.
+    No rows in, no rows out.
     """
-    found = components(docs, id_col, text_col, width, distance, total)
-    keep = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct().alias("k")
-    return docs.alias("d").join(keep, F.col(f"d.`{id_col}`").eqNullSafe(F.col("k.id")), "left_semi")
+    rows = stage(signatures(docs, id_col, text_col, width).withColumn("node", F.xxhash64("fp", "own")), "simhash-signatures")
+    least = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row")).alias("least")
+    distinct = stage(rows.groupBy("node", "fp").agg(least, F.min_by("bands", "row").alias("bands"), F.min_by("low", "row").alias("low")), "simhash-distinct")
+    nearest = stage(near_links(distinct, distance, direct=True), "simhash-candidates")
+    band_rows = distinct.count() * BANDS
+    stars, groups = band_links(distinct, band_rows)
+    both = stage(nearest.unionByName(stars).distinct(), "simhash-pairs")
+    sets = sets_of(both, distinct, docs, id_col, text_col, width)
+    links = stage(verified(both, sets, share), "simhash-nearest")
+    roots = stage(connected_components(links), "simhash-nearest-roots")
+    links = stage(links.unionByName(rest_of_bands(groups, distinct, sets, roots, share, band_rows)), "simhash-links")
+    roots = connected_components(links)
+    linked = distinct.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keep = linked.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row"))
+    gone = stage(rows.select("row").distinct().join(keep, "row", "left_anti"), "simhash-gone")
+    wide = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row")).withColumn("maybe", maybe_in(gone, "row"))
+    kept = wide.where(~F.col("maybe")).select("d").unionByName(wide.where("maybe").join(gone, "row", "left_anti").select("d"))
+    return kept.select(*(F.col(f"d.`{c}`") for c in docs.columns))

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from obsledger.llm import exact_dedup, graph, simhash
@@ -103,7 +104,7 @@ def test_split_blocks_lose_no_link(spark):
     rng = np.random.default_rng(2)
     base = [int(x) for x in rng.integers(0, 1 << 20, 40)]
     fps = sorted({b ^ (1 << int(x)) ^ (1 << int(y)) for b in base for x, y in rng.integers(0, 62, (12, 2))} | set(base))
-    df = spark.createDataFrame([(f, f, 0) for f in fps], "node long, fp long, other long")
+    df = spark.createDataFrame([(f, f) for f in fps], "node long, fp long")
     want = simhash.near_links(df, 3, group=10_000)
     got = simhash.near_links(df, 3, group=64)
     comp = lambda e: {r.node: r.root for r in graph.connected_components(e).collect()}
@@ -156,8 +157,37 @@ def test_bands_dealt_in_parts_lose_no_pair(spark):
     pool = [[1, 2, 3, 4, 5], [11, 12, 13, 14, 15], [21, 22, 23, 24, 25]]
     rows = [(i, pool[i % 3], [7]) for i in range(40)]
     nodes = spark.createDataFrame([(i, b) for i, _, b in rows], "node long, bands array<long>")
-    sets = spark.createDataFrame([(i, s) for i, s, _ in rows], "node long, shingles array<int>")
+    sets = spark.createDataFrame([(i, bytearray([s[0]] * 160), s) for i, s, _ in rows], "node long, low binary, shingles array<int>")
     roots = spark.createDataFrame([], "node long, root long")
     _, groups = simhash.band_links(nodes, 40)
     found = graph.connected_components(simhash.rest_of_bands(groups, nodes, sets, roots, 0.8, 40, group=8)).collect()
     assert {r.node: r.root for r in found} == {i: i % 3 for i in range(40)}
+
+
+def test_near_copies_of_odd_rows(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = [(None, text), (None, text + " more"), (1, text), (None, ""), (4, None), (5, " "), (7, text), (7, text), (8, "one two"), (9, "ONE two"), (10, "x " * 60_000), (None, "alone here"), (None, "alone here"), (11, "one"), (11, "other words")]
+    df = spark.createDataFrame([(i, t, 0, 1, 2) for i, t in rows], "doc_id long, text string, row long, d long, maybe long")
+    got = simhash.drop_near_copies(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, (r.text or "")[:20]) for r in got.collect()), key=str) == sorted([(1, text[:20]), (4, ""), (8, "one two"), (10, ("x " * 10)), (None, "alone here"), (None, "alone here"), (11, "one"), (11, "other words")], key=str)
+    assert simhash.drop_near_copies(df.where("false")).count() == 0
+
+
+def test_links_folded_in_parts_lose_none(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "_HELD", 3)
+    rng = np.random.default_rng(4)
+    fps = sorted({int(x) for x in rng.integers(0, 64, 60)} | {1 << 40, (1 << 40) + 7})
+    run = simhash._links_in(3, False)
+    found = [b for b in run([pa.RecordBatch.from_arrays([pa.array([0] * len(fps)), pa.array([0] * len(fps)), pa.array(fps), pa.array(fps)], ["mask", "key", "node", "fp"])])]
+    root = {f: f for f in fps}
+    for _ in fps:
+        for a in fps:
+            for b in fps:
+                if (a ^ b).bit_count() <= 3:
+                    root[a] = root[b] = min(root[a], root[b])
+    own = {f: f for f in fps}
+    for u, v in ((u, v) for b in found for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
+        a, b = own[u], own[v]
+        own = {f: min(a, b) if x in (a, b) else x for f, x in own.items()}
+    assert own == root

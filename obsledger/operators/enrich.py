@@ -75,7 +75,7 @@ def apply_privacy(rows: DataFrame, bodies: list[str] | tuple = ()) -> DataFrame:
 def listing_sentence(mode: Column, listed: Column, last_complete: Column, gone_by: Column, last_seen: Column) -> Column:
     """F64: what is said about a record's listing; a date that is not known is never printed."""
     return (
-        F.when(mode == "cumulative", "kept for good").when(listed, F.concat(F.lit("listed on "), last_seen))
+        F.when(mode == "cumulative", "kept for good").when(listed & last_seen.isNotNull(), F.concat(F.lit("listed on "), last_seen))
         .when(~listed & last_complete.isNotNull() & gone_by.isNotNull(), F.concat(F.lit("gone between "), last_complete, F.lit(" and "), gone_by))
         .when(last_seen.isNotNull(), F.concat(F.lit("last seen on "), last_seen, F.lit(", now unknown"))).otherwise("not known")
     )

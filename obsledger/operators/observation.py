@@ -37,6 +37,16 @@ def snapshot_fold(rows: DataFrame, keys: list[str], day: str, order: list[str],
     )
 
 
+def first_of_day(rows: DataFrame, keys: list[str], order: list[str], day: str = "day", source: str = "source") -> DataFrame:
+    """Of rows with one key on a day of a source, the first by ``order`` (file, then place in it).
+
+    One aggregation that keeps a single row a key, so equal keys combine before they shuffle. Null keys are a key.
+    """
+    body = [c for c in rows.columns if c not in (source, day, *keys)]
+    first = F.min_by(F.struct(*body), F.struct(*order)).alias("_first")
+    return rows.groupBy(source, day, *keys).agg(first, F.count("*").alias("n_rows")).select(source, day, *keys, "n_rows", *(F.col(f"_first.{c}").alias(c) for c in body))
+
+
 def listing_state(seen: DataFrame, obs: DataFrame) -> DataFrame:
     """Is a key still listed at its source?
 

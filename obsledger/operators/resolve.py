@@ -45,6 +45,15 @@ def merge_sources(rows: DataFrame, key: list[str], article: str, fields: list[st
     return settled.unionByName(out(r.where(~F.col("_settles")))).unionByName(out(rest))
 
 
+def _earlier(openings: DataFrame, exits: DataFrame, cols: list[str]) -> DataFrame:
+    """(cols, day, _n): for each day on which exits fall, the openings of ``cols`` on earlier days. The running count
+    goes over the days of a key, not over its rows."""
+    days = openings.select(*cols, "day", F.lit(1).alias("_o")).unionByName(exits.select(*cols, "day", F.lit(0).alias("_o")))
+    days = days.where("day IS NOT NULL").groupBy(*cols, "day").agg(F.sum("_o").alias("_o"))
+    before = F.sum("_o").over(Window.partitionBy(*cols).orderBy("day").rowsBetween(Window.unboundedPreceding, -1))
+    return days.withColumn("_n", F.coalesce(before, F.lit(0)))
+
+
 def tiered_match(exits: DataFrame, openings: DataFrame, tiers: list[list[str]], near: list[str], differs: str) -> DataFrame:
     """Match exits with earlier openings, tier by tier.
 
@@ -63,10 +72,14 @@ def tiered_match(exits: DataFrame, openings: DataFrame, tiers: list[list[str]],
         ok = F.coalesce(F.col(f"_o{i}") < F.col("day"), F.lit(False))
         opened, label = F.when(ok, F.col(f"_o{i}")).otherwise(opened), F.when(ok, f"tier{i}").otherwise(label)
     out = out.withColumn("_opened", opened).withColumn("_label", label).drop(*(f"_o{i}" for i in range(1, len(tiers) + 1)))
-    days = openings.groupBy(*near, differs, F.col("day").alias("_d")).agg(F.count("*").alias("_c"))
-    missed = out.where(F.col("_label").isNull()).select("id", "day", *near, F.col(differs).alias("_own")).join(days, near)
-    missed = missed.where((F.col("_d") < F.col("day")) & ~F.col(differs).eqNullSafe(F.col("_own"))).groupBy("id").agg(F.sum("_c").alias("near_candidates"))
-    out = out.join(missed, "id", "left").withColumn("near_candidates", F.coalesce("near_candidates", F.lit(0).cast("long")))
+    out = out.withColumn("near_candidates", F.lit(0).cast("long"))
+    for cols, sign in ((near, 1), ([*near, differs], -1)):  # those that agree on ``near``, less those that agree on both
+        side = _earlier(openings, out, cols).select("_n", F.col("day").alias("_day"), *(F.col(c).alias(f"_k_{c}") for c in cols))
+        same = F.col("day") == F.col("_day")
+        for c in cols:
+            same &= F.col(c).eqNullSafe(F.col(f"_k_{c}")) if c == differs else F.col(c) == F.col(f"_k_{c}")
+        out = out.join(side, same, "left").withColumn("near_candidates", F.col("near_candidates") + sign * F.coalesce("_n", F.lit(0))).drop("_n", "_day", *(f"_k_{c}" for c in cols))
+    out = out.withColumn("near_candidates", F.when(F.col("_label").isNull(), F.col("near_candidates")).otherwise(0))
     match = F.coalesce(F.col("_label"), F.when(F.col("near_candidates") > 0, "near miss"), F.lit("none"))
     person = F.col("kind") == "individual"
     return out.select("id", match.alias("match"), F.when(~person, F.col("_opened")).alias("opened_on"), F.when(~person, F.col("day")).alias("closed_on"), F.when(~person, F.datediff("day", "_opened")).alias("days"), "near_candidates")

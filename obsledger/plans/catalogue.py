@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import commerce, documents, golden, golden_records, observation
+from . import commerce, documents, golden, golden_records, observation, records
 
-FAMILIES = (observation, commerce, documents, golden, golden_records)
+FAMILIES = (observation, commerce, documents, golden, golden_records, records)
 
 
 def queries() -> dict[str, Callable]:

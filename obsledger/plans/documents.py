@@ -9,6 +9,7 @@ from ..functions import text as tx
 from ..functions import web
 from ..operators import resolve
 from ..session import table
+from ..staging import staged
 
 
 def _keyed(spark, sf_dir):
@@ -17,7 +18,8 @@ def _keyed(spark, sf_dir):
 
 def cross_source_merge(spark, sf_dir):
     """Documents equal up to case and white space, settled across sources."""
-    d = _keyed(spark, sf_dir).withColumn("lang2", F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("lang")))
+    d = _keyed(spark, sf_dir).select("h", "doc_id", "source", "n_chars", F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("lang")).alias("lang2"))
+    d = staged(d, "merge-keys")  # texts are read and hashed once
     out = resolve.merge_sources(d.withColumn("article", F.lit("")), ["h"], "article", ["lang2", "n_chars"], "doc_id")
     return out.select("h", "doc_id", "lang2", "n_chars", F.array_join("sources", ",").alias("sources"), F.size("merged_keys").cast("long").alias("merged"))
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import address, dates, privacy, text, web, zoning
-from ..operators import cells
+from ..operators import cells, places
+from ..session import table
 from ..sources import html_tables, robots
 
 
@@ -81,7 +82,8 @@ def address_granularity(spark, sf_dir):
     return df.select("addr", cut.alias("cut"), (privacy.redact_addr(cut, F.lit("individual")) == cut).alias("stable"), (privacy.redact_addr(F.col("addr"), F.lit("corp")) == F.col("addr")).alias("corp_whole"), address.granularity(F.col("addr")).alias("class"))
 
 
-GAZETTEER = address.Gazetteer({("大阪府", "大阪市北区"): "27127", ("兵庫県", "西宮市"): "28204", ("大阪府", "豊中市"): "27203", ("大阪府", "堺市"): "27140", ("兵庫県", "猪名川町"): "28301"}, {"28204": ["上ケ原2番町", "甲子園"], "27203": ["緑丘", "緑丘南"]})
+CODES = [("大阪府", "大阪市北区", "27127"), ("大阪府", "大阪市", "27100"), ("東京都", "北区", "13117"), ("兵庫県", "西宮市", "28204"), ("大阪府", "豊中市", "27203"), ("大阪府", "堺市", "27140"), ("兵庫県", "猪名川町", "28301"), ("岡山県", "備前市", "33211"), ("兵庫県", "川辺郡川西町", "28302")]
+TOWNS = [("28204", "上ケ原2番町"), ("28204", "甲子園"), ("27203", "緑丘"), ("27203", "緑丘南"), ("27203", "本町")]
 KEYS = [  # prefecture, city, address, key, town key, shown, error
     ("大阪府", "大阪市北区", "梅田一丁目２番３号", "27127|梅田1-2-3", "27127|梅田1", "大阪市北区梅田1-2-3", ""),
     ("大阪府", "大阪市北区", "大阪市北区梅田1-1-1 みなとビル3F", "27127|梅田1-1-1", "", "大阪市北区梅田1-1-1みなとビル3F", ""),
@@ -93,13 +95,54 @@ KEYS = [  # prefecture, city, address, key, town key, shown, error
     ("大阪府", "豊中市", "緑丘南3番5号", "27203|緑丘南3-5", "27203|緑丘南", "豊中市緑丘南3-5", ""),
     ("大阪府", "大阪市北区", "堺市西区鳳1-1", "", "", "大阪市北区", "address names 堺市"),
     ("大阪府", "豊中市", "", "", "", "豊中市", ""),
+    ("兵庫県", "川西町", "西二十三丁目十二三番地の4", "28302|西23-13-4", "28302|西23", "川西町西23-13-4", ""),
+    ("兵庫県", "川辺郡猪名川町", "三田十丁目", "28301|三田10", "28301|三田10", "川辺郡猪名川町三田10", ""),
 ]
 
 
+def _gazetteer(spark):
+    return spark.createDataFrame(CODES, "pref string, city string, code string"), spark.createDataFrame(TOWNS, "code string, town string")
+
+
 def address_normalize(spark, sf_dir):
+    """Comparable keys of addresses, numerals and units in many spellings."""
     df = spark.createDataFrame([r[:3] for r in KEYS], "pref string, city string, raw string")
-    n = address.normalize_udf(GAZETTEER)(F.col("pref"), F.col("city"), F.col("raw"))
-    return df.withColumn("n", n).select("pref", "city", "raw", "n.addr_key", "n.addr_key_town", "n.addr", "n.error")
+    n = places.address_keys(df, *_gazetteer(spark), addr="raw")
+    return n.select("pref", "city", "raw", "keys.addr_key", "keys.addr_key_town", "keys.addr", "keys.error")
+
+
+PLACES = [  # address, prefecture and city of the source, then prefecture, city, rest, precision, source
+    ("大阪府大阪市北区梅田1", "", "", "大阪府", "大阪市北区", "梅田1", "区", "住所"),
+    ("兵庫県川辺郡猪名川町松尾台", "", "", "兵庫県", "猪名川町", "松尾台", "市", "住所"),
+    ("岡山県備前市東片上", "大阪府", "大阪市", "岡山県", "備前市", "東片上", "市", "住所"),
+    ("北区　梅田一丁目", "大阪府", "大阪市", "大阪府", "大阪市北区", "梅田一丁目", "区", "台帳"),
+    ("北区梅田一丁目", "", "", "東京都", "北区", "梅田一丁目", "区", "住所"),
+    ("矢田五丁目", "大阪府", "大阪市", "大阪府", "大阪市", "矢田五丁目", "市", "台帳"),
+    ("矢田五丁目", "", "", "", "", "矢田五丁目", "", ""),
+    ("篠山市山内町64番３", "兵庫県", "", "兵庫県", "", "篠山市山内町64番３", "", ""),
+    ("", "大阪府", "豊中市", "大阪府", "豊中市", "", "市", "台帳"),
+]
+
+
+def municipality_split(spark, sf_dir):
+    """The municipality off the front of an address; the hint narrows and never widens."""
+    df = spark.createDataFrame([r[:3] for r in PLACES], "addr string, pref string, city string")
+    p = places.split_city(df, _gazetteer(spark)[0])
+    return p.select("addr", "pref", "city", F.col("place.pref").alias("in_pref"), F.col("place.city").alias("in_city"), "place.rest", "place.precision", "place.source")
+
+
+def customer_addresses(spark, sf_dir):
+    """The keys of an address made from each customer, half of them with the municipality in front."""
+    codes, towns = _gazetteer(spark)
+    k = F.col("c_custkey")
+    listed = F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip(("pref", "city"), c[:2], strict=True))) for c in CODES[3:6]))
+    ten, one = F.floor(k / 10) % 10, k % 10
+    numeral = F.concat(F.when(ten == 0, "").when(ten == 1, "十").otherwise(F.concat(F.substring(F.lit("〇一二三四五六七八九"), ten.cast("int") + 1, F.lit(1)), F.lit("十"))), F.when((one == 0) & (ten > 0), "").otherwise(F.substring(F.lit("〇一二三四五六七八九"), one.cast("int") + 1, F.lit(1))))
+    c = table(spark, sf_dir, "customer").select(k, F.get(listed, (k % 3).cast("int")).alias("c"), numeral.alias("numeral"), (k % 89 + 1).alias("lot"), (k % 23).alias("house"))
+    where = F.when(F.col("c_custkey") % 2 == 0, F.concat("c.pref", "c.city")).otherwise("")
+    raw = F.when(F.col("c_custkey") % 5 == 0, F.concat(where, F.lit("大字本町 "), "lot", F.lit("番地の"), "house")).otherwise(F.concat(where, F.lit("本町"), "numeral", F.lit("丁目"), "lot", F.lit("番"), "house", F.lit("号ほか")))
+    keys = places.address_keys(c.select("c_custkey", "c.pref", "c.city", raw.alias("addr")), codes, towns)
+    return places.split_city(keys, codes).select("c_custkey", "keys.city_code", "keys.addr_key", "keys.addr_key_town", "keys.error", F.col("place.city").alias("in_city"), "place.source")
 
 
 ZONES = [  # cell, zones, unread
@@ -245,12 +288,19 @@ def store_names(spark, sf_dir):
     return df.select("name", privacy.norm_store(F.col("name")).alias("store_key"), privacy.facility_key(F.col("name")).alias("facility"), out.alias("plain"), had.alias("had_state"))
 
 
-QUERIES = {f.__name__: f for f in (same_corp_pairs, corp_and_redact, address_granularity, address_normalize, zoning_normalize, era_dates, article_kind, gazette_titles, html_table_golden, robots_eval, robots_state, url_range, mask_golden, store_names)}
+QUERIES = {f.__name__: f for f in (same_corp_pairs, corp_and_redact, address_granularity, address_normalize, municipality_split, customer_addresses, zoning_normalize, era_dates, article_kind, gazette_titles, html_table_golden, robots_eval, robots_state, url_range, mask_golden, store_names)}
 
 ORACLES = {
     "same_corp_pairs": _values(["a", "b", "same", "co_owners"], CORP),
     "corp_and_redact": _values(["name", "disclosed", "kind", "screen", "index_name"], PARTIES),
     "address_granularity": _values(["addr", "cut", "stable", "corp_whole", "class"], [(a, c, True, True, g) for a, c, g in ADDRESSES]),
+    "municipality_split": _values(["addr", "pref", "city", "in_pref", "in_city", "rest", "precision", "source"], PLACES),
+    "customer_addresses": """
+WITH c AS (SELECT c_custkey, c_custkey % 3 AS w, c_custkey % 89 + 1 AS lot, c_custkey % 23 AS house, c_custkey % 100 AS chome FROM customer),
+k AS (SELECT *, CASE w WHEN 0 THEN '28204' WHEN 1 THEN '27203' ELSE '27140' END AS code, CASE w WHEN 0 THEN '西宮市' WHEN 1 THEN '豊中市' ELSE '堺市' END AS city FROM c)
+SELECT c_custkey, code AS city_code, code || '|本町' || CASE WHEN c_custkey % 5 = 0 THEN lot || '-' || house ELSE chome || '-' || lot || '-' || house END AS addr_key,
+       CASE WHEN c_custkey % 5 = 0 THEN CASE WHEN w = 1 THEN '27203|本町' ELSE '' END ELSE code || '|本町' || chome END AS addr_key_town, '' AS error, city AS in_city,
+       CASE WHEN c_custkey % 2 = 0 THEN '住所' ELSE '台帳' END AS source FROM k""",
     "address_normalize": _values(["pref", "city", "raw", "addr_key", "addr_key_town", "addr", "error"], KEYS),
     "zoning_normalize": _values(["cell", "zones", "unread"], ZONES),
     "era_dates": _values(["raw", "iso", "gazette", "until"], DATES),

@@ -115,10 +115,10 @@ def ledger_latest(spark, sf_dir):
 
 
 def budgeted_frontier(spark, sf_dir):
-    """What is not done yet, newest first, at most 12 a source, within a request budget of 40."""
+    """What came up after it was last done, newest first, at most 12 a source, within a request budget of 40."""
     e = _events(spark, sf_dir)
-    done = e.where("event_type = 'purchase'").select("user_id").distinct()
-    todo = e.where("event_type <> 'purchase'").groupBy(F.col("event_type").alias("source"), "user_id").agg(F.max("day").alias("day"), F.count("*").alias("cost")).join(done.where("user_id % 3 = 0"), "user_id", "left_anti")
+    done = e.where("event_type = 'purchase'").groupBy("user_id").agg(F.max("day").alias("done_on"))
+    todo = e.where("event_type <> 'purchase'").groupBy(F.col("event_type").alias("source"), "user_id").agg(F.max("day").alias("day"), F.count("*").alias("cost")).join(done, "user_id", "left").where("done_on IS NULL OR day > done_on")
     rank = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("day"), "user_id"))
     capped = todo.withColumn("rank", rank).where("rank <= 12")
     spent = F.sum("cost").over(Window.partitionBy("source").orderBy("rank"))
@@ -200,8 +200,8 @@ WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, e
 k AS (SELECT *, CASE event_type WHEN 'purchase' THEN 'done' WHEN 'signup' THEN 'never' WHEN 'error' THEN 'next run' ELSE 'after 30 days' END AS retry FROM r WHERE rn = 1)
 SELECT user_id, entries, event_id, retry, CASE retry WHEN 'next run' THEN (ts::DATE + 1)::VARCHAR WHEN 'after 30 days' THEN (ts::DATE + 30)::VARCHAR END AS next_attempt FROM k""",
     "budgeted_frontier": """
-WITH done AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND user_id % 3 = 0),
-todo AS (SELECT event_type AS source, user_id, max(ts::DATE) AS day, count(*) AS cost FROM events WHERE event_type <> 'purchase' AND user_id NOT IN (SELECT user_id FROM done) GROUP BY ALL),
+WITH done AS (SELECT user_id, max(ts::DATE) AS done_on FROM events WHERE event_type = 'purchase' GROUP BY user_id),
+todo AS (SELECT event_type AS source, user_id, max(ts::DATE) AS day, count(*) AS cost FROM events LEFT JOIN done USING (user_id) WHERE event_type <> 'purchase' GROUP BY event_type, user_id, done_on HAVING done_on IS NULL OR max(ts::DATE) > done_on),
 r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY day DESC, user_id) AS rank FROM todo QUALIFY rank <= 12),
 s AS (SELECT *, sum(cost) OVER (PARTITION BY source ORDER BY rank)::BIGINT AS spent FROM r)
 SELECT source, user_id, day::VARCHAR AS day, rank, spent FROM s WHERE spent <= 40""",

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from ..functions.text import first_map
+
 _HEADINGS = {"h1", "h2", "h3", "h4"}
 #: Heading -> field, in order; the first column that fits and is not taken gets the field (fixed values).
 COLUMNS = [
@@ -27,6 +29,8 @@ COLUMNS = [
     ("city_opinion", r"^(市意見|府意見|県意見|(市|府|県|市町村)の意見)"),
     ("note", r"^(備考|市留意事項)$"),
 ]
+#: Most columns and rows that a cell may span, as HTML bounds them (fixed values).
+SPANS = {"colspan": 1000, "rowspan": 65534}
 #: Tables that hold no notices (fixed value).
 NOT_A_NOTICE = r"意見書|市の意見|県の意見|公表"
 
@@ -60,7 +64,7 @@ class _Tables(HTMLParser):
             self._cell_done()
             if not self.stack[-1]["rows"]:
                 self.stack[-1]["rows"].append([])
-            span = {k: max(1, int(a[k])) if (a.get(k) or "").strip().isdigit() else 1 for k in ("colspan", "rowspan")}
+            span = {k: min(max(1, int(a[k])), most) if re.fullmatch("[0-9]{1,9}", (a.get(k) or "").strip()) else 1 for k, most in SPANS.items()}
             cell = {"parts": [], "links": [], **span}
             self.stack[-1]["cell"] = cell
             self.stack[-1]["rows"][-1].append(cell)
@@ -123,15 +127,16 @@ class html_rows:  # noqa: N801
                 yield n, t["context"], r, [v[0] for v in line], [v[1] for v in line], links
 
 
-def column_of(header: list[str]) -> dict[str, int]:
-    """Field -> column of a header row."""
-    heads = [re.sub(r"[\s（）()・、．.]", "", h or "") for h in header]
-    out: dict[str, int] = {}
-    for name, pattern in COLUMNS:
-        free = (i for i, h in enumerate(heads) if h and i not in out.values() and re.search(pattern, h))
-        if (i := next(free, None)) is not None:
-            out[name] = i
-    return out
+def column_of(header: Column) -> Column:
+    """Field -> column (from 0) of a header row: of :data:`COLUMNS`, in order, each takes the first free column that fits."""
+    heads = F.transform(header, lambda h: F.regexp_replace(F.coalesce(h, F.lit("")), r"(?U)[\s（）()・、．.]", ""))
+
+    def take(taken, pattern):
+        fits = F.filter(F.sequence(F.lit(0), F.greatest(F.size(heads) - 1, F.lit(0))), lambda i: (F.coalesce(F.get(heads, i), F.lit("")) != "") & ~F.array_contains(taken, i) & F.rlike(F.get(heads, i), pattern))
+        return F.concat(taken, F.array(F.coalesce(F.get(fits, F.lit(0)), F.lit(-1))))
+
+    at = F.aggregate(F.array(*(F.lit(p) for _, p in COLUMNS)), F.array().cast("array<int>"), take)
+    return F.map_filter(F.map_from_arrays(F.array(*(F.lit(n) for n, _ in COLUMNS)), at), lambda _, i: i >= 0)
 
 
 def notices(rows):
@@ -139,14 +144,9 @@ def notices(rows):
 
     The first row of a table is its header. Rows are kept or set aside with a reason: no date or store
     column, a merged note row (store and date from one cell), all cells equal, nothing in them. A column
-    without a field goes to ``extra``; nothing is dropped unseen.
+    without a field goes to ``extra`` (of equal headings, as a colspan makes them, the first); nothing is dropped unseen.
     """
-
-    @F.udf("map<string,int>")
-    def fields_of(header):
-        return column_of(header)
-
-    head = rows.where("row_no = 0").select("page", "table_no", F.col("cells").alias("header")).withColumn("at", fields_of("header"))
+    head = rows.where("row_no = 0").select("page", "table_no", F.col("cells").alias("header")).withColumn("at", column_of(F.col("header")))
     body = rows.where("row_no > 0").join(head, ["page", "table_no"])
     cell = lambda f: F.get("cells", F.col("at")[f])
     origin = lambda f: F.get("origins", F.col("at")[f])
@@ -159,7 +159,7 @@ def notices(rows):
     )
     known = F.map_from_entries(F.transform(F.map_entries("at"), lambda e: F.struct(e["key"], F.get("cells", e["value"]))))
     rest = F.filter(F.transform(F.col("header"), lambda h, i: F.struct(h.alias("k"), F.get("cells", i).alias("v"), F.array_contains(F.map_values("at"), i).alias("used"))), lambda x: ~x["used"] & (F.coalesce(x["k"], F.lit("")) != ""))
-    extra = F.map_from_entries(F.transform(rest, lambda x: F.struct(x["k"], x["v"])))
+    extra = first_map(rest)
     return body.select("page", "table_no", "row_no", F.when(reason.isNull(), known).alias("record"), F.when(reason.isNull(), extra).alias("extra"), "links", reason.alias("reason"))
 
 
@@ -170,15 +170,34 @@ def unknown_columns(extra_rows):
 
 
 def vertical(rows):
-    """S3: two-column tables of four rows or more, label beside value, as one record each."""
-    two = rows.where(F.size("cells") == 2).groupBy("page", "table_no").agg(F.count("*").alias("n"), F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.get("cells", F.lit(0)), F.get("cells", F.lit(1)))))).alias("record"))
-    return two.where("n >= 4").select("page", "table_no", "record")
+    """S3: two-column tables of four rows or more, label beside value, as one record each; of equal labels the first counts."""
+    two = rows.where(F.size("cells") == 2).groupBy("page", "table_no").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("row_no", F.get("cells", F.lit(0)).alias("k"), F.get("cells", F.lit(1)).alias("v")))).alias("lines"))
+    return two.where("n >= 4").withColumn("record", first_map(F.col("lines"))).select("page", "table_no", "record")
 
 
 def heading_blocks(page: Column) -> Column:
-    """Blocks that begin with a heading 店舗名：, as an array of label -> value maps."""
+    """Blocks that begin with a heading 店舗名：, as an array of label -> value maps (of equal labels the first)."""
     plain = F.regexp_replace(F.regexp_replace(page, "(?i)<(br|/p|/div|/li|/h[1-4])[^>]*>", "\n"), "<[^>]+>", "")
     blocks = F.filter(F.split(plain, "(?=店舗名：)"), lambda b: b.startswith("店舗名："))
     pair = lambda l: F.struct(F.trim(F.regexp_extract(l, "^([^：]+)：", 1)).alias("k"), F.trim(F.regexp_extract(l, "：(.*)$", 1)).alias("v"))
     lines = lambda b: F.filter(F.split(b, r"\n|\s+(?=\S+：)"), lambda l: l.contains("："))
-    return F.transform(blocks, lambda b: F.map_from_entries(F.transform(lines(b), pair)))
+    return F.transform(blocks, lambda b: first_map(F.transform(lines(b), pair)))
+
+
+#: How the pages of a source are read: a table by its heading, a table by its first row, or blocks.
+READERS = ("heading", "firstrow", "blocks")
+
+
+def by_source(pages, sources):
+    """Records of pages (page, source, html, base), each read as its source is: (page, source, how, record).
+
+    ``sources`` (source, how) says which of :data:`READERS` fits; a page of an unknown source or reader is returned
+    with a null record, so that nothing is dropped unseen.
+    """
+    p = pages.join(sources, "source", "left")
+    read = p.where(F.col("how").isin("heading", "firstrow"))
+    rows = read.lateralJoin(html_rows(F.col("html").outer(), F.col("base").outer())).drop("html", "base")
+    tables = notices(rows.where((F.col("how") == "firstrow") | (F.col("context") != ""))).where("record IS NOT NULL").select("page", "record")
+    blocks = p.where("how = 'blocks'").select("page", F.explode(heading_blocks(F.col("html"))).alias("record"))
+    found = tables.unionByName(blocks)
+    return p.select("page", "source", "how").join(found, "page", "left")

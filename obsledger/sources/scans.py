@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import first_map
+
 
 def gazette_sections(lines: DataFrame, head: str, law: str) -> DataFrame:
     """Sections of issues: (issue, section_no, kind, line_no, line).
@@ -24,18 +26,16 @@ def gazette_sections(lines: DataFrame, head: str, law: str) -> DataFrame:
 
 
 def numbered_items(lines: Column) -> Column:
-    """A section's numbered items as label -> value: the value beside the label, else the next line."""
+    """A section's numbered items as label -> value (of equal labels the first): the value beside the label, else the next line."""
     pick = lambda l, i: F.struct(F.regexp_extract(l, r"^\s*[0-9０-９]{1,2}\s+(\S+)", 1).alias("k"), F.when(F.regexp_extract(l, r"^\s*[0-9０-９]{1,2}\s+\S+\s+(\S.*)$", 1) != "", F.trim(F.regexp_extract(l, r"^\s*[0-9０-９]{1,2}\s+\S+\s+(\S.*)$", 1))).otherwise(F.trim(F.coalesce(F.get(lines, i + 1), F.lit("")))).alias("v"))
-    return F.map_from_entries(F.filter(F.transform(lines, pick), lambda e: e["k"] != ""))
+    return first_map(F.filter(F.transform(lines, pick), lambda e: e["k"] != ""))
 
 
 def agenda_items(text: Column) -> Column:
     """The items of an agenda that hold a notice, as label -> value maps (value after two spaces or more)."""
     blocks = F.filter(F.split(text, r"(?=第\s*\d+\s*号議案)"), lambda b: b.contains("届出内容") | b.contains("届出の内容"))
-    pair = lambda l: F.struct(F.regexp_replace(F.regexp_extract(l, r"^\s*(\S.*?\S)\s{2,}(\S.*?)\s*$", 1), r"\s", "").alias("k"), F.regexp_extract(l, r"^\s*(\S.*?\S)\s{2,}(\S.*?)\s*$", 2).alias("v"))
-    # the first of equal labels counts
-    first = lambda ps: F.filter(ps, lambda p, i: (p["k"] != "") & ~F.exists(F.slice(ps, 1, i), lambda q: q["k"] == p["k"]))
-    return F.transform(blocks, lambda b: F.map_from_entries(first(F.transform(F.split(b, "\n"), pair))))
+    pair = lambda l: F.struct(F.regexp_replace(F.regexp_extract(l, r"^\s*(\S(?:.*?\S)?)\s{2,}(\S.*?)\s*$", 1), r"\s", "").alias("k"), F.regexp_extract(l, r"^\s*(\S(?:.*?\S)?)\s{2,}(\S.*?)\s*$", 2).alias("v"))
+    return F.transform(blocks, lambda b: first_map(F.filter(F.transform(F.split(b, "\n"), pair), lambda p: p["k"] != "")))
 
 
 #: Words for common areas, in order (fixed values).

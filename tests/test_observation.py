@@ -1,6 +1,8 @@
 """Truth tables of the three-valued operators, and the streaming twin."""
 
 import datetime as dt
+import itertools
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,17 +45,36 @@ def test_nine_listing_cases(spark):
 def test_streaming_state_agrees(k):
     sights, complete, latest, listed, *_ = CASES[k]
     done = dict(complete)
-    rows = [(str(day(d)), "seen" if d in sights else "obs", d in done, done.get(d, "u")) for d in sorted({*sights, *done, latest})]
-    state = (None,) * 6
+    rows = [(str(day(d)), "seen" if d in sights else "obs", d in done, done.get(d, "u"), "m") for d in sorted({*sights, *done, latest})]
+    state = listing.EMPTY
     for r in rows:  # one row a batch
         state = listing.advance(state, [r])
     assert listing.verdict(state) is listed
-    assert listing.advance((None,) * 6, rows[::-1]) == state
+    for order in itertools.islice(itertools.permutations(rows), 200):
+        late = listing.EMPTY
+        for r in order:
+            late = listing.advance(late, [r])
+        assert (late, listing.verdict(late)) == (state, listed)
+
+
+def test_late_sightings_and_methods():
+    rows = [("2026-01-20", "seen", True, "u", "m"), ("2026-01-23", "obs", True, "u", "m"), ("2026-01-22", "seen", True, "u", "m")]
+    state = listing.EMPTY
+    for r in rows:
+        state = listing.advance(state, [r])
+    assert listing.verdict(state) is False and listing.first_absence(state)[0] == "2026-01-23"
+    other = listing.advance(listing.EMPTY, [rows[0], ("2026-01-23", "obs", True, "u", "another")])
+    assert listing.verdict(other) is None
+    days = [str(day(1) + dt.timedelta(days=n)) for n in range(400)]
+    long = listing.advance(listing.EMPTY, [(days[0], "seen", True, "u", "m")])
+    for d in days[1:]:
+        long = listing.advance(long, [(d, "obs", True, "u", "m")])
+    assert listing.verdict(long) is False and listing.first_absence(long)[0] == days[1] and len(json.loads(long[5])) <= listing.LATENESS + 2
 
 
 def test_stream_runs(spark, tmp_path):
-    rows = [("s", 1, "2026-01-20", "seen", True, "u"), ("s", 1, "2026-01-21", "obs", True, "u"), ("s", 2, "2026-01-20", "seen", False, "u"), ("s", 2, "2026-01-20", "seen", False, "u")]
-    df = spark.createDataFrame(rows, "source string, key long, day string, kind string, complete boolean, origin string")
+    rows = [("s", 1, "2026-01-20", "seen", True, "u", "m"), ("s", 1, "2026-01-21", "obs", True, "u", "m"), ("s", 2, "2026-01-20", "seen", False, "u", "m"), ("s", 2, "2026-01-20", "seen", None, "u", None)]
+    df = spark.createDataFrame(rows, "source string, key long, day string, kind string, complete boolean, origin string, method string")
     df.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
     q = listing.listing_stream(stream).writeStream.outputMode("update").format("memory").queryName("listing_t").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()

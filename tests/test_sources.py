@@ -115,3 +115,23 @@ def test_decoding():
     assert text.decode_best("あいう".encode()) == ("あいう", "utf-8")
     assert text.decode_best("届出一覧です".encode("cp932"))[0] == "届出一覧です"
     assert text.decode_best("届出一覧です".encode("euc_jp"))[0] == "届出一覧です"
+
+
+def test_repeated_labels_keep_the_first(spark):
+    page = "<table><tr><th>店舗の名称</th><th>届出日</th><th colspan=2>謎</th><th colspan=999999999>備考</th></tr><tr><td>みなと店</td><td>R8.1.2</td><td>あ</td><td>い</td><td>n</td></tr></table>"
+    rows = spark.createDataFrame([("p", page)], "page string, html string").lateralJoin(html_tables.html_rows(F.col("html").outer(), F.lit("http://a.example/")))
+    got = html_tables.notices(rows.drop("html")).first()
+    assert got.extra["謎"] == "あ" and got.record["store"] == "みなと店"
+    block = spark.createDataFrame([("店舗名：みなと店<br>住所：一<br>住所：二",)], "h string").select(html_tables.heading_blocks(F.col("h")).alias("x")).first().x
+    assert block[0]["住所"] == "一"
+    lines = spark.createDataFrame([(["1 店舗名  一", "2 店舗名  二", "3 住所", "次の行"],)], "l array<string>").select(scans.numbered_items(F.col("l")).alias("m")).first().m
+    assert lines == {"店舗名": "一", "住所": "次の行"}
+    pairs = [("p", 0, n, [k, v], ["a", "b"], []) for n, (k, v) in enumerate([("店舗", "一"), ("店舗", "二"), ("届出", "三"), (None, "四")])]
+    two = spark.createDataFrame(pairs, "page string, table_no int, row_no int, cells array<string>, origins array<string>, links array<string>")
+    assert html_tables.vertical(two).first().record == {"店舗": "一", "届出": "三"}
+
+
+def test_columns_take_the_first_free_heading(spark):
+    heads = [["店舗名称", "届出日", "受理日", "届出者", "縦覧場所", "縦覧期間"], [], ["名称", "店舗の名称", None, " 備 考 "]]
+    got = [r.m for r in spark.createDataFrame([(h,) for h in heads], "h array<string>").select(html_tables.column_of(F.col("h")).alias("m")).collect()]
+    assert got == [{"store": 0, "date": 1, "span": 4}, {}, {"store": 0, "note": 3}]

@@ -144,6 +144,17 @@ def residential_reason(*texts: Column) -> Column:
     )
 
 
+#: How an address begins, and what makes a text one: a counted unit, or a hyphenated lot after a municipality (fixed values).
+PLACE_HEAD = r"^(北海道|東京都|京都府|大阪府|[^\s　]{2,3}県|[^\s　]{1,6}[市区郡町村])"
+PLACE_LOT = r"(?U)[0-9０-９一二三四五六七八九十]+\s*(番地|番|号|丁目)|[^\s　]{1,6}[市区郡町村][^\s　]{0,12}?[0-9０-９]+\s*[-‐−－ー―]\s*[0-9０-９]+"
+
+
+def looks_like_address(s: Column, bodies: list[str] | tuple = ()) -> Column:
+    """is a text that should be a name an address? Never of a company."""
+    t = F.trim(F.coalesce(s, F.lit("")))
+    return (t != "") & t.rlike(PLACE_HEAD) & t.rlike(PLACE_LOT) & ~is_corp(t, bodies)
+
+
 def norm_store(name: Column) -> Column:
     """a store's name for comparison across sources."""
     return F.lower(F.regexp_replace(corp_core(name), r"[（）()仮称・･ー－\-]", ""))

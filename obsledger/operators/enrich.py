@@ -85,3 +85,32 @@ def suspects(rows: DataFrame, flags: list[str]) -> DataFrame:
     """Rows any of whose party flags says that an address stands in the name's place, once each."""
     hit = F.array_compact(F.array(*(F.when(F.col(f) == "address", f) for f in flags)))
     return rows.withColumn("flags", hit).where(F.size("flags") > 0).select("source", "file", "key", "store", "flags").distinct()
+
+
+#: What the day of an event is called by kind, and what is added for readers; what its date of notice rests on (fixed values).
+EVENT_LABELS = {"新設": ("新設日", "（開店日とは別に決まります）"), "廃止": ("廃止日", "（閉店日とは別に決まります）"), "変更": ("変更日", ""), "承継": ("承継日", ""), "中規模": ("日付", "")}
+ORDINANCE, LAW = "市の条例にもとづく", "大規模小売店舗立地法の"
+NO_ADDRESS, OTHER_PREFECTURE = "（取ってきた一覧に所在地が入っていませんでした）", "（自治体の表の所在地欄に別の県の住所が入っていたため、店舗の所在地としては表示していません）"
+CUT_BECAUSE = {"individual": "設置者が個人のため", "address": "届出の一覧の設置者の欄に住所だけが書かれていて名称が読めないため", "": "設置者を確かめられないため"}
+
+
+def event_label(kind: Column, part: int = 0) -> Column:
+    """what the event day of a notice is called; a kind that is not listed stops the run."""
+    known = F.coalesce(*(F.when(kind == k, F.lit(v[part])) for k, v in EVENT_LABELS.items()))
+    return F.coalesce(known, F.raise_error(F.concat(F.lit("no name for the date of "), F.coalesce(kind, F.lit("null")))).cast("string"))
+
+
+def address_note(absent: Column, redacted: Column, display: Column, suspect: Column, elsewhere: Column) -> Column:
+    """why an address is not shown in full: the source has none, a person, a name that cannot be read, or unknown;
+    and whether one of another prefecture was set aside."""
+    why = F.when(display == privacy.INDIVIDUAL, CUT_BECAUSE["individual"]).when(suspect == "address", CUT_BECAUSE["address"]).otherwise(CUT_BECAUSE[""])
+    note = F.when(F.coalesce(absent, F.lit(False)), NO_ADDRESS).when(F.coalesce(redacted, F.lit(False)), F.concat(F.lit("（"), why, F.lit("町丁目まで）"))).otherwise("")
+    return F.concat(note, F.when(blank(elsewhere), "").otherwise(OTHER_PREFECTURE))
+
+
+def description(area: Column, store: Column, kind: Column, notified: Column, size: Column, event: Column) -> Column:
+    """one sentence on a notice: the law or ordinance it rests on, the size and the event day if known."""
+    basis = F.when(kind == "中規模", ORDINANCE).otherwise(LAW)
+    lead = F.concat(F.coalesce(area, F.lit("")), F.lit("の"), F.coalesce(store, F.lit("")), F.lit("について、"), F.coalesce(notified, F.lit("")), F.lit("に"), basis, kind, F.lit("届出。"))
+    dated = F.when(blank(event), "").otherwise(F.concat(F.lit(" 届出に書かれた"), event_label(F.when(~blank(event), kind).otherwise("変更")), F.lit("は"), event, event_label(F.when(~blank(event), kind).otherwise("変更"), 1), F.lit("。")))
+    return F.concat(lead, F.when(blank(size), "").otherwise(F.concat(F.lit(" 店舗面積"), size.cast("string"), F.lit("。"))), dated)

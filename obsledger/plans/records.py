@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, privacy, text
 from ..operators import enrich, frontier, observation, policy
 from ..session import table
-from ..sources import html_tables, scans, xlsx
+from ..sources import html_tables, scans, sinks, xlsx
 
 _BASE = "http://a.example/"
 
@@ -189,6 +189,30 @@ def leaked_pages(spark, sf_dir):
     return p.select("page_id", F.array_join(policy.leaked_tokens(F.struct("url", "html"), ["track(", "<svg", "page="]), ",").alias("tokens"))
 
 
+def record_texts(spark, sf_dir):
+    """what is said about each order as a notice: basis, size and event day if known, why its address is cut."""
+    o, k = _orders(spark, sf_dir), F.col("o_orderkey")
+    kind = F.get(F.array(*(F.lit(x) for x in ("新設", "廃止", "変更", "承継", "中規模"))), (k % 5).cast("int"))
+    said = enrich.description(F.lit("海辺市"), F.concat(F.lit("店"), k), kind, F.col("day").cast("string"), F.when(k % 3 == 0, k), F.when(k % 2 == 0, F.col("day").cast("string")))
+    note = enrich.address_note(k % 7 == 0, k % 3 == 0, F.when(k % 2 == 0, "個人"), F.when(k % 5 == 0, "address"), F.when(k % 11 == 0, "愛媛県"))
+    return o.select("o_orderkey", said.alias("said"), note.alias("note"))
+
+
+def address_like_names(spark, sf_dir):
+    """customers' names, some of which are addresses written in the name's place."""
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    name = F.get(F.array(F.col("c_name"), F.concat(F.lit("海辺市なぎさ町"), k, F.lit("番地")), F.concat(F.lit("海辺市なぎさ"), k, F.lit("-2")), F.concat(F.lit("なぎさ "), k, F.lit("-2")), F.concat(F.lit("株式会社海辺市"), k, F.lit("番"))), (k % 5).cast("int"))
+    return c.select("c_custkey", privacy.looks_like_address(name).alias("address"))
+
+
+def sitemap_files(spark, sf_dir):
+    """The sitemap of all parts, in files of at most 200 entries; per file its size and entries."""
+    parts = table(spark, sf_dir, "part").select(F.concat(F.lit("/p/"), "p_partkey", F.lit("?a=1&b=2")).alias("url"))
+    m = sinks.sitemap(parts, "http://a.example", per_file=200)
+    entry = F.explode(F.regexp_extract_all("body", F.lit("<loc>(http://a.example/p/[^<]*)</loc>"), F.lit(1)))
+    return m.where((F.regexp_count("body", F.lit("<url>")) <= 200) & F.col("body").endswith("</urlset>\n")).select(entry.alias("loc"))
+
+
 def link_frontier(spark, sf_dir):
     """What is reached from each supplier over its strongest parts and their strongest suppliers, caps 12, 4 and 32."""
     li = table(spark, sf_dir, "lineitem")
@@ -198,7 +222,7 @@ def link_frontier(spark, sf_dir):
     return frontier.bounded_frontier(seeds, links)
 
 
-QUERIES = {f.__name__: f for f in (html_notices, vertical_notices, dispatched_sources, section_items, agenda_records, first_of_day, coerced_columns, written_dates, store_cells, stamped_rows, history_links, neighbour_issues, home_reasons, listing_sentences, suspect_parties, transfer_checks, leaked_pages, link_frontier)}
+QUERIES = {f.__name__: f for f in (html_notices, vertical_notices, dispatched_sources, section_items, agenda_records, first_of_day, coerced_columns, written_dates, store_cells, stamped_rows, history_links, neighbour_issues, home_reasons, listing_sentences, suspect_parties, transfer_checks, leaked_pages, record_texts, address_like_names, sitemap_files, link_frontier)}
 
 ORACLES = {
     "html_notices": """
@@ -241,6 +265,14 @@ SELECT DISTINCT l_linestatus AS source, l_orderkey % 100 AS file, l_suppkey AS k
     "transfer_checks": """
 SELECT page_id, CASE WHEN page_id % 3 <> 0 AND page_id % 7 <> 0 THEN page_id % 5 <> 0 END AS bytes, lower(rtrim(html)) LIKE '%</html>' AS "end", CASE WHEN page_id % 2 = 0 THEN true END AS count FROM pages""",
     "leaked_pages": "SELECT page_id, concat_ws(',', CASE WHEN contains(html, 'track(') THEN 'track(' END, CASE WHEN contains(html, '<svg') THEN '<svg' END, CASE WHEN contains(html, 'page=') OR contains(url, 'page=') THEN 'page=' END) AS tokens FROM pages",
+    "record_texts": """
+WITH o AS (SELECT o_orderkey AS k, o_orderdate::DATE::VARCHAR AS d, CASE o_orderkey % 5 WHEN 0 THEN '新設' WHEN 1 THEN '廃止' WHEN 2 THEN '変更' WHEN 3 THEN '承継' ELSE '中規模' END AS kind FROM orders)
+SELECT k AS o_orderkey, '海辺市の店' || k || 'について、' || d || 'に' || CASE WHEN kind = '中規模' THEN '市の条例にもとづく' ELSE '大規模小売店舗立地法の' END || kind || '届出。' || CASE WHEN k % 3 = 0 THEN ' 店舗面積' || k || '。' ELSE '' END ||
+  CASE WHEN k % 2 = 0 THEN ' 届出に書かれた' || CASE kind WHEN '中規模' THEN '日付' ELSE kind || '日' END || 'は' || d || CASE kind WHEN '新設' THEN '（開店日とは別に決まります）' WHEN '廃止' THEN '（閉店日とは別に決まります）' ELSE '' END || '。' ELSE '' END AS said,
+  CASE WHEN k % 7 = 0 THEN '（取ってきた一覧に所在地が入っていませんでした）' WHEN k % 3 = 0 THEN '（' || CASE WHEN k % 2 = 0 THEN '設置者が個人のため' WHEN k % 5 = 0 THEN '届出の一覧の設置者の欄に住所だけが書かれていて名称が読めないため' ELSE '設置者を確かめられないため' END || '町丁目まで）' ELSE '' END ||
+  CASE WHEN k % 11 = 0 THEN '（自治体の表の所在地欄に別の県の住所が入っていたため、店舗の所在地としては表示していません）' ELSE '' END AS note FROM o""",
+    "address_like_names": "SELECT c_custkey, c_custkey % 5 IN (1, 2) AS address FROM customer",
+    "sitemap_files": "SELECT 'http://a.example/p/' || p_partkey || '?a=1&amp;b=2' AS loc FROM part",
     "link_frontier": """
 WITH e AS (SELECT 's' || l_suppkey AS s, 'p' || l_partkey AS p, -count(*) AS rank FROM lineitem GROUP BY ALL),
 l AS (SELECT via, target, row_number() OVER (PARTITION BY via ORDER BY rank, target) AS place FROM (SELECT s AS via, p AS target, rank FROM e UNION ALL SELECT p, s, rank FROM e) QUALIFY place <= 12),

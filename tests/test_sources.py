@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from obsledger.functions import text
-from obsledger.sources import html_tables, pdf, scans, sheets, xlsx
+from obsledger.sources import html_tables, pdf, scans, sheets, sinks, xlsx
 
 MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 REL = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
@@ -135,3 +135,14 @@ def test_columns_take_the_first_free_heading(spark):
     heads = [["店舗名称", "届出日", "受理日", "届出者", "縦覧場所", "縦覧期間"], [], ["名称", "店舗の名称", None, " 備 考 "]]
     got = [r.m for r in spark.createDataFrame([(h,) for h in heads], "h array<string>").select(html_tables.column_of(F.col("h")).alias("m")).collect()]
     assert got == [{"store": 0, "date": 1, "span": 4}, {}, {"store": 0, "note": 3}]
+
+
+def test_archive_and_rebuild(spark, tmp_path):
+    path = str(tmp_path / "full")
+    first = spark.createDataFrame([("2024-01-05", "1", "u1", "一"), ("2025-01-05", "2", "u2", "二")], "day string, no string, url string, text string")
+    sinks.save_full(first, path)
+    sinks.save_full(first.where("no = '2'").withColumn("text", F.lit("三")), path)
+    got = sinks.rebuilt(spark, path, lambda d: d.select("no", F.concat("text", F.lit("!")).alias("x"))).collect()
+    assert {tuple(r) for r in got} == {("1", "一!"), ("2", "三!")}
+    rules = spark.createDataFrame([("*", False, "/p"), ("*", True, "/p/open")], "agent string, allow boolean, path string")
+    assert sinks.robots_text(rules).first().body == "User-agent: *\nAllow: /p/open\nDisallow: /p"

@@ -27,14 +27,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def stage(df: DataFrame, tag: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet below the shared folder and read it again.
+def stage(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet below the shared folder and read it again; ``by``: a folder for each value.
 
     The written files survive the loss of any executor and fix values such as row ids.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out

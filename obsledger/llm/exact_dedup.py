@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, join_groups, stage
+from .common import SPACE, join_groups, maybe_in, stage
 
 #: Largest filter, in bits (32 MiB), and bits spent on each text.
 MAX_BITS = 1 << 28
@@ -57,20 +57,36 @@ def _maybe_repeated(spark, bitmap: bytes, bits: int) -> Column:
     return test(*_slots(bits))
 
 
-def _flagged(keys: DataFrame, rows: DataFrame, n: int, max_bits: int) -> list[DataFrame]:
-    """``rows`` with ``maybe``: whether another row may share their ``sha``; one part per hash slice."""
+def _flagged(keys: DataFrame, n: int, max_bits: int) -> list[DataFrame]:
+    """The ``n`` staged ``keys`` with ``maybe``: whether another row may share their ``sha``; one part per hash slice.
+
+    Beyond one filter the keys are written once more, a folder for each slice, so that each is read by its own filter only.
+    """
     need = max(1 << 16, 1 << int(np.ceil(np.log2(max(1, n * BITS_PER_ROW)))))
-    parts = max(1, need // max_bits)
-    bits = min(need, max_bits)
+    parts, bits = max(1, need // max_bits), min(need, max_bits)
+    if parts == 1:
+        return [keys.withColumn("maybe", _maybe_repeated(keys.sparkSession, _filter(keys, bits), bits))]
+    dealt = stage(keys.withColumn("slice", F.pmod(F.xxhash64("sha"), F.lit(parts)).cast("int")), "exact-sliced", by="slice")
     out = []
-    for k in range(parts):
-        own = F.pmod(F.xxhash64("sha"), F.lit(parts)) == k if parts > 1 else F.lit(True)
-        out.append(rows.where(own).withColumn("maybe", _maybe_repeated(rows.sparkSession, _filter(keys.where(own), bits), bits)))
-    if parts > 1:  # frees each slice's filter before the next one is built
-        out = [stage(x, "exact-slice") for x in out]
+    for k in range(parts):  # each result is written, which frees its filter before the next one is built
+        own = dealt.where(F.col("slice") == k).drop("slice")
+        out.append(stage(own.withColumn("maybe", _maybe_repeated(keys.sparkSession, _filter(own, bits), bits)), "exact-slice"))
     return out
 
 
+def _keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, sha, row, uid) of every row, staged: id, code points, text key, hash of id and text, a number of the row."""
+    size = F.length(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("id"), size.alias("n"), text_key(text_col).alias("sha"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"))
+    return stage(rows.withColumn("uid", F.monotonically_increasing_id()), "exact-keys")
+
+
+def _groups(some: DataFrame) -> DataFrame:
+    """(sha, best, group_size): of each text the row that stays: most code points, least id (null last), least hash."""
+    best = F.min(F.struct((-F.col("n")).alias("m"), F.col("id").isNull().alias("z"), "id", "row", "uid")).alias("best")
+    return some.groupBy("sha").agg(best, F.count("*").alias("group_size"))
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """One row per input row: the id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
@@ -78,19 +94,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     points stays, then the smallest id. Null text counts as empty; a null id sorts after all others; of
     rows alike in text, length and id exactly one is kept. No rows in, no rows out.
     """
-    fp = stage(
-        docs.select(F.col(id_col).alias("id"), F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("n"), text_key(text_col).alias("sha"))
-        .withColumn("uid", F.monotonically_increasing_id()),
-        "exact-keys",
-    )
-    n = fp.count()
+    keys = _keys(docs, id_col, text_col)
+    n = keys.count()
     done = None
-    for part in _flagged(fp, fp, n, max_bits):
+    for part in _flagged(keys, n, max_bits):
         alone = part.where(~F.col("maybe")).select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "sha")
         some = part.where("maybe")
-        best = F.min(F.struct((-F.col("n")).alias("m"), F.col("id").isNull().alias("z"), "id", "uid")).alias("best")
-        groups = some.groupBy("sha").agg(best, F.count("*").alias("group_size"))
-        both = join_groups(some.select("id", "uid", "sha"), groups, "sha", "group_size", n)
+        both = join_groups(some.select("id", "uid", "sha"), _groups(some), "sha", "group_size", n)
         found = both.select("id", F.col("best.id").alias("keep_id"), "group_size", (F.col("uid") == F.col("best.uid")).alias("kept"), "sha")
         part = alone.unionByName(found)
         done = part if done is None else done.unionByName(part)
@@ -100,19 +110,22 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns.
 
-    Only rows whose text may have a copy shuffle, by (text, length, id), so that no group meets in one
-    task; every other row passes through the scan. Cases as in :func:`exact_dedup`.
+    Texts are read and keyed once; only rows whose text has a copy shuffle, by the hash of id and text, so that
+    no group meets in one task; every other row passes through the scan. Of rows alike in id and text the one of
+    least hash over all columns stays. Other cases as in :func:`exact_dedup`.
     """
-    keys = stage(docs.select(F.col(id_col).alias("id"), F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("n"), text_key(text_col).alias("sha")), "exact-keys")
-    wide = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("id"), F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("n"), text_key(text_col).alias("sha"))
+    keys = _keys(docs, id_col, text_col)
     n = keys.count()
-    done = None
-    for flagged_keys, flagged in zip(_flagged(keys, keys, n, max_bits), _flagged(keys, wide, n, max_bits), strict=True):
-        best = F.min(F.struct((-F.col("n")).alias("m"), F.col("id").isNull().alias("z"), "id")).alias("best")
-        keep = flagged_keys.where("maybe").groupBy("sha").agg(best).select("sha", (-F.col("best.m")).alias("n"), F.col("best.id").alias("id"))
-        some, k = flagged.where("maybe").alias("d"), keep.alias("k")
-        same = (F.col("d.sha") == F.col("k.sha")) & (F.col("d.n") == F.col("k.n")) & F.col("d.id").eqNullSafe(F.col("k.id"))
-        kept = some.join(k, same, "left_semi").dropDuplicates(["sha"]).select("row")
-        part = flagged.where(~F.col("maybe")).select("row").unionByName(kept)
-        done = part if done is None else done.unionByName(part)
-    return done.select(*(F.col(f"row.`{c}`") for c in docs.columns))
+    several = None
+    for part in _flagged(keys, n, max_bits):
+        some = part.where("maybe")
+        groups = _groups(some).where("group_size > 1")
+        found = join_groups(some.select("row", "sha"), groups, "sha", "group_size", n).select("row", F.col("best.row").alias("best"))
+        several = found if several is None else several.unionByName(found)
+    several = stage(several.groupBy("row").agg(F.max(F.col("row") == F.col("best")).alias("stays")), "exact-several")
+    every = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    wide = docs.select(every.alias("d"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row")).withColumn("maybe", maybe_in(several, "row"))
+    met = wide.where("maybe").join(several, "row", "left")
+    kept = met.where("stays").groupBy("row").agg(F.min_by("d", F.xxhash64(F.to_json("d"))).alias("d")).select("d")
+    out = wide.where(~F.col("maybe")).select("d").unionByName(met.where("stays IS NULL").select("d")).unionByName(kept)
+    return out.select(*(F.col(f"d.`{c}`") for c in docs.columns))

@@ -100,10 +100,10 @@ def _packing_sql() -> str:
     bounds = "\n".join(f"b{i} AS (SELECT {f'd{i + 1}.back' if i < k else 'j'} AS spot FROM {f'd{i + 1} JOIN b{i + 1} ON d{i + 1}.j = b{i + 1}.spot' if i < k else 'top'})," for i in range(k, 0, -1))
     union = " UNION ".join(f"SELECT spot FROM b{i}" for i in range(1, k + 1))
     return f"""
-WITH n AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n FROM documents),
-pieces AS (SELECT doc_id, n, unnest(range(greatest(1, (n + {m - 1}) // {m}))) AS piece FROM n),
+WITH n AS (SELECT doc_id, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS name, coalesce(strlen(text), 0)::BIGINT AS n FROM documents),
+pieces AS (SELECT doc_id, name, n, unnest(range(greatest(1, (n + {m - 1}) // {m}))) AS piece FROM n),
 seq AS (SELECT doc_id, piece, piece * {m} AS start, least(n - piece * {m}, {m}) AS n_tokens,
-        md5(coalesce(doc_id::VARCHAR, '') || ':' || piece::VARCHAR) AS key FROM pieces),
+        md5(name || ':' || piece::VARCHAR) AS key FROM pieces),
 st AS (SELECT *, greatest(1, (n_tokens + {s - 1}) // {s}) AS steps FROM seq),
 top AS (SELECT max(steps) AS j FROM st),
 bins AS (SELECT j, (SELECT count(*) FROM st WHERE steps <= j) AS below FROM (SELECT unnest(range(0, (SELECT j FROM top) + 1)) AS j)),

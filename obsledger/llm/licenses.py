@@ -1,10 +1,11 @@
 """License scan by a positional rare-token index.
 
 The index holds, for each licence template, the positions of its rarest words (highest IDF over the
-templates). A file's words that occur in it are looked up; postings whose position in the file agrees
-with their position in the template vote for the same start. Short phrases need every word; long
-templates need a share of their rare words in place, give or take a drift, and then their mandatory key
-phrases near that start.
+templates). Of a file, its words of highest IDF among the licence words, those that the index holds, are looked
+up; postings whose position in the file agrees with their position in the template vote for the same start. Short
+phrases need every word; templates need a share of their rare words in place, give or take a drift that grows
+with their length, and then their mandatory key phrases near that start. Templates are notices as well as the
+running text of whole licences.
 """
 
 from __future__ import annotations
@@ -25,7 +26,12 @@ BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved"
 #: Templates by label: text, and the key phrases without which the label is not given.
 TEMPLATES: dict[str, tuple[str, tuple[str, ...]]] = {
     "mit": ("released under the mit license", ("mit license",)),
-    "mit-text": ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted", "free of charge")),
+    "mit-text": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction "
+        "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so "
+        "subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+        ("permission is hereby granted", "free of charge"),
+    ),
     "apache-2.0": ("licensed under the apache license version 2 0", ("apache license", "version 2 0")),
     "gpl-3.0": ("this work is licensed under the gnu general public license version 3", ("general public license", "version 3")),
     "gpl-2.0": ("under the terms of the gnu general public license version 2", ("general public license", "version 2")),
@@ -36,14 +42,36 @@ TEMPLATES: dict[str, tuple[str, tuple[str, ...]]] = {
     "cc-by-sa-4.0": ("licensed under cc by sa 4 0", ("cc by sa 4 0",)),
     "cc-by-text": ("licensed under a creative commons attribution 4 0 international license", ("creative commons attribution",)),
     "cc0": ("cc0 1 0 universal public domain dedication", ("cc0 1 0",)),
+    "apache-2.0-text": (
+        "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing "
+        "software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing "
+        "permissions and limitations under the license",
+        ("in compliance with the license", "without warranties or conditions of any kind"),
+    ),
+    "gpl-text": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or "
+        "at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+        ("general public license", "free software foundation"),
+    ),
+    "bsd-text": (
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of "
+        "conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+        ("redistributions of source code", "redistributions in binary form"),
+    ),
+    "zlib": (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use "
+        "this software for any purpose including commercial applications and to alter it and redistribute it freely",
+        ("alter it and redistribute it freely",),
+    ),
     "bsd": ("redistribution and use in source and binary forms with or without modification are permitted", ("redistribution and use", "source and binary forms")),
     "isc": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("permission to use copy modify", "hereby granted")),
     "mpl-2.0": ("this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
     "unlicense": ("this is free and unencumbered software released into the public domain", ("unencumbered software", "public domain")),
     "proprietary": ("proprietary and confidential unauthorized copying of this file via any medium is strictly prohibited", ("proprietary and confidential",)),
 }
-#: Rare words indexed for each template, the share of them that must agree, words of drift allowed.
-RARE, AGREE, DRIFT = 5, 0.6, 2
+#: Rare words indexed for each template, at least and for each so many of its words; the share of them that must
+#: agree; words of drift allowed, at least and for each so many words of the template.
+RARE, RARE_PER, AGREE, DRIFT, DRIFT_PER = 5, 4, 0.6, 2, 20
 
 #: Everything that is no word byte becomes a space, A-Z lower case: words are then what split() gives.
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]")
@@ -56,18 +84,27 @@ def words_of(text: bytes) -> list[bytes]:
 
 @lru_cache(maxsize=1)
 def _index():
-    """word -> [(phrase number, position)], phrases, and for each how many of its indexed words must agree."""
-    phrases = [(label, tuple(p.encode().split()), None) for p, label in BASE.items()]
-    phrases += [(label, tuple(t.encode().split()), tuple(tuple(k.encode().split()) for k in keys)) for label, (t, keys) in TEMPLATES.items()]
+    """word -> [(phrase number, position)], and the phrases: (label, words, key phrases or None, votes needed, drift)."""
+    phrases = [(label, tuple(p.split()), None) for p, label in BASE.items()]
+    phrases += [(label, tuple(t.split()), tuple(tuple(k.split()) for k in keys)) for label, (t, keys) in TEMPLATES.items()]
     df = Counter(w for _, words, _ in phrases for w in set(words))
     idf = {w: math.log((1 + len(phrases)) / (1 + n)) for w, n in df.items()}
-    post, need = defaultdict(list), []
-    for k, (_, words, keys) in enumerate(phrases):
-        at = range(len(words)) if keys is None else sorted(range(len(words)), key=lambda i: (-idf[words[i]], i))[:RARE]
+    post, out = defaultdict(list), []
+    for k, (label, words, keys) in enumerate(phrases):
+        rare = max(RARE, len(words) // RARE_PER)
+        at = range(len(words)) if keys is None else sorted(range(len(words)), key=lambda i: (-idf[words[i]], i))[:rare]
         for i in at:
             post[words[i]].append((k, i))
-        need.append(len(words) if keys is None else math.ceil(AGREE * len(at)))
-    return dict(post), phrases, need, idf
+        out.append((label, words, keys, len(words) if keys is None else math.ceil(AGREE * len(at)), max(DRIFT, len(words) // DRIFT_PER)))
+    return dict(post), out
+
+
+@lru_cache(maxsize=1)
+def _as_bytes():
+    """The index over words as bytes."""
+    post, phrases = _index()
+    enc = lambda words: tuple(w.encode() for w in words)
+    return {w.encode(): x for w, x in post.items()}, [(label, enc(words), keys and tuple(map(enc, keys)), need, drift) for label, words, keys, need, drift in phrases]
 
 
 def _has(words: list[bytes], phrase: tuple, low: int, high: int) -> bool:
@@ -77,7 +114,7 @@ def _has(words: list[bytes], phrase: tuple, low: int, high: int) -> bool:
 
 def scan(text: bytes) -> tuple[int, list[tuple[int, str]], dict[str, float]]:
     """Number of words, base places (start, label), and label -> score (share of template words in place)."""
-    post, phrases, need, _ = _index()
+    post, phrases = _as_bytes()
     words = words_of(text)
     votes: dict[int, Counter] = defaultdict(Counter)
     for at, w in enumerate(words):
@@ -86,16 +123,26 @@ def scan(text: bytes) -> tuple[int, list[tuple[int, str]], dict[str, float]]:
                 votes[k][at - i] += 1
     places, labels = [], {}
     for k, starts in votes.items():
-        label, own, keys = phrases[k]
+        label, own, keys, need, drift = phrases[k]
         if keys is None:
-            places += [(s, label) for s, n in starts.items() if n >= need[k] and s >= 0 and tuple(words[s : s + len(own)]) == own]
+            places += [(s, label) for s, n in starts.items() if n >= need and s >= 0]
+            continue
+        if sum(starts.values()) < need:
             continue
-        for s in starts:
-            if sum(starts.get(s + d, 0) for d in range(-DRIFT, DRIFT + 1)) < need[k]:
-                continue
-            low, high = s - DRIFT, s + len(own) + DRIFT
-            if all(_has(words, p, low, high) for p in keys):
-                near = set(words[max(low, 0) : high])
+        order, total = sorted(starts), {}
+        low = high = held = 0
+        for s in order:  # votes from s - drift to s + drift
+            while high < len(order) and order[high] <= s + drift:
+                held += starts[order[high]]
+                high += 1
+            while order[low] < s - drift:
+                held -= starts[order[low]]
+                low += 1
+            total[s] = held
+        for s in order:
+            first, last = s - drift, s + len(own) + drift
+            if total[s] >= need and all(_has(words, p, first, last) for p in keys):
+                near = set(words[max(first, 0) : max(last, 0)])
                 labels[label] = max(labels.get(label, 0.0), sum(w in near for w in own) / len(own))
     for _, label in places:
         labels[label] = 1.0

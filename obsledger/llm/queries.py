@@ -182,7 +182,32 @@ SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(
 """
 
 
+def _license_sql() -> str:
+    """Votes of the index's postings by start, within the drift; then key phrases and score in the window around it."""
+    post, phrases = licenses._index()
+    lists = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    places = ", ".join(f"('{w}', {k}, {i})" for w, found in post.items() for k, i in found)
+    rules = ", ".join(f"({k}, '{label}', {lists(words)}, {'NULL' if keys is None else lists(' '.join(x) for x in keys)}, {need}, {drift})" for k, (label, words, keys, need, drift) in enumerate(phrases))
+    return f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws FROM documents),
+post(word, k, i) AS (VALUES {places}), rule(k, label, own, keys, need, drift) AS (VALUES {rules}),
+x AS (SELECT doc_id, word, p FROM (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS p FROM w) WHERE word IN (SELECT word FROM post)),
+v AS (SELECT doc_id, k, p - i AS s, count(*) AS n FROM x JOIN post USING (word) GROUP BY ALL),
+base AS (SELECT doc_id, s, label FROM v JOIN rule USING (k) WHERE keys IS NULL AND n >= need AND s >= 0),
+cand AS (SELECT a.doc_id, a.k, a.s FROM v a JOIN rule r ON r.k = a.k AND r.keys IS NOT NULL JOIN v b ON b.doc_id = a.doc_id AND b.k = a.k AND b.s BETWEEN a.s - r.drift AND a.s + r.drift GROUP BY a.doc_id, a.k, a.s, r.need HAVING sum(b.n) >= r.need),
+win AS (SELECT c.doc_id, c.k, c.s, r.label, r.own, r.keys, w.ws, greatest(c.s - r.drift, 0) AS first, c.s + len(r.own) + r.drift AS last FROM cand c JOIN rule r USING (k) JOIN w USING (doc_id)),
+met AS (SELECT doc_id, label, len(list_filter(own, lambda o: list_contains(ws[first + 1:last], o)))::DOUBLE / len(own) AS score FROM win
+        WHERE len(list_filter(keys, lambda q: contains(' ' || array_to_string(ws[first + 1:last + len(string_split(q, ' ')) - 1], ' ') || ' ', ' ' || q || ' '))) = len(keys)),
+every AS (SELECT doc_id, label, 1.0::DOUBLE AS score FROM base UNION ALL SELECT * FROM met),
+l AS (SELECT doc_id, array_to_string(list(DISTINCT label ORDER BY label), ',') AS labels, max(score) AS score FROM every GROUP BY doc_id),
+g AS (SELECT doc_id, count(*) AS n, min(s) AS first_word, max(s) AS last_word, array_to_string(list(DISTINCT label ORDER BY label), ',') AS base_labels FROM base GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM w LEFT JOIN g USING (doc_id) LEFT JOIN l USING (doc_id)
+"""
+
+
 ORACLES = {
+    "op2_license_scan": _license_sql(),
     "op8_secret_scan": _secrets_sql(),
     "op3_line_dedup": rf"""
 WITH raw AS (SELECT doc_id, line, i FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))

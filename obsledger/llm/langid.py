@@ -23,10 +23,14 @@ TRAIN_PER_LANG = 1500
 UNKNOWN = "und"
 #: Languages up to which their row counts are broadcast.
 BROADCAST_ROWS = 10_000
-#: Letters fall on 509 classes by code point (prime, so that the letters of one script keep apart).
-_CLASSES, _BITS = 509, 9
-#: Code points that are counted at a time, and texts at most, so that ranks sort as single integers.
-_CHUNK, _DOCS = 1 << 19, 1 << 9
+#: Letters fall on 4093 classes by code point (prime): those of an alphabet keep apart, some five Han characters share one.
+_CLASSES, _BITS = 4093, 12
+#: Bits of a gram's letters, and of a gram with its length in front.
+_LETTERS, _GRAM = 3 * _BITS, 3 * _BITS + 2
+_MASK = (1 << _GRAM) - 1
+#: Code points that are counted at a time, and bits of the number of a text among those ranked at a time.
+_CHUNK, _DOC_BITS = 1 << 19, 9
+_DOCS = 1 << _DOC_BITS
 
 
 @lru_cache(maxsize=1)
@@ -42,14 +46,14 @@ def _classes() -> np.ndarray:
 
 
 def _grams(classes: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """doc << 29 | gram for every n-gram; a non-letter counts as a word's edge and never inside a gram."""
-    c, d = classes.astype(np.int64), doc.astype(np.int64) << 29
+    """doc << _GRAM | gram for every n-gram; a non-letter counts as a word's edge and never inside a gram."""
+    c, d = classes.astype(np.int64), doc.astype(np.int64) << _GRAM
     one = c > 0
     same = doc[1:] == doc[:-1]
     two = same & (one[1:] | one[:-1])
     three = same[1:] & same[:-1] & one[1:-1]
-    uni = (d | 2 << 27 | c)[one]
-    bi = (d[1:] | 1 << 27 | c[:-1] << _BITS | c[1:])[two]
+    uni = (d | 2 << _LETTERS | c)[one]
+    bi = (d[1:] | 1 << _LETTERS | c[:-1] << _BITS | c[1:])[two]
     tri = (d[2:] | c[:-2] << 2 * _BITS | c[1:-1] << _BITS | c[2:])[three]
     return np.concatenate((uni, bi, tri))
 
@@ -61,7 +65,7 @@ def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(doc << 29 | gram, count) over whole texts, sorted; long texts are counted in pieces."""
+    """(doc << _GRAM | gram, count) over whole texts, sorted; long texts are counted in pieces."""
     table = _classes()
     keys, counts = [], []
     buffer, size = [], 0
@@ -109,10 +113,10 @@ def _piece(piece: np.ndarray, k: int, last: bool) -> np.ndarray:
     own = len(c) if last else _CHUNK
     at = np.arange(len(c))
     one = c > 0
-    uni = (2 << 27 | c)[one & (at < own)]
-    bi = (1 << 27 | c[:-1] << _BITS | c[1:])[(one[1:] | one[:-1]) & (at[:-1] < own)]
+    uni = (2 << _LETTERS | c)[one & (at < own)]
+    bi = (1 << _LETTERS | c[:-1] << _BITS | c[1:])[(one[1:] | one[:-1]) & (at[:-1] < own)]
     tri = (c[:-2] << 2 * _BITS | c[1:-1] << _BITS | c[2:])[one[1:-1] & (at[:-2] < own)]
-    return (k << 29) | np.concatenate((uni, bi, tri))
+    return (k << _GRAM) | np.concatenate((uni, bi, tri))
 
 
 def ranked(texts: list[str], top: int = TOP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,14 +124,18 @@ def ranked(texts: list[str], top: int = TOP) -> tuple[np.ndarray, np.ndarray, np
     key, n = gram_counts(texts)
     if not len(key):
         return key, key, key
-    doc, gram = key >> 29, key & ((1 << 29) - 1)
-    cap = (1 << 23) - 1
-    packed = np.sort(doc << 52 | (cap - np.minimum(n, cap)) << 29 | gram)
-    doc = packed >> 52
+    doc, gram = key >> _GRAM, key & _MASK
+    cap = (1 << (63 - _GRAM - _DOC_BITS)) - 1
+    if n.max() <= cap:  # ranks sort as single integers
+        packed = np.sort(doc << (63 - _DOC_BITS) | (cap - n) << _GRAM | gram)
+        doc, gram = packed >> (63 - _DOC_BITS), packed & _MASK
+    else:
+        order = np.lexsort((gram, -n, doc))
+        doc, gram = doc[order], gram[order]
     first = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
     rank = np.arange(len(doc)) - np.repeat(first, np.diff(np.append(first, len(doc))))
     keep = rank < top
-    return doc[keep], (packed & ((1 << 29) - 1))[keep], rank[keep]
+    return doc[keep], gram[keep], rank[keep]
 
 
 def fit_profiles(train: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", top: int = TOP, per_lang: int = TRAIN_PER_LANG) -> dict[str, np.ndarray]:
@@ -151,11 +159,11 @@ def fit_profiles(train: DataFrame, text_col: str = "text", lang_col: str = "lang
                 key, n = gram_counts(part.column("text").to_pylist())
                 if not len(key):
                     continue
-                k2 = index[key >> 29] << 29 | key & ((1 << 29) - 1)
+                k2 = index[key >> _GRAM] << _GRAM | key & _MASK
                 order = np.argsort(k2, kind="stable")
                 k2, n = k2[order], n[order]
                 first = np.flatnonzero(np.concatenate(([True], k2[1:] != k2[:-1])))
-                yield pa.RecordBatch.from_arrays([pa.array([names[x] for x in k2[first] >> 29], pa.string()), pa.array(k2[first] & ((1 << 29) - 1)), pa.array(np.add.reduceat(n, first))], ["lang", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([names[x] for x in k2[first] >> _GRAM], pa.string()), pa.array(k2[first] & _MASK), pa.array(np.add.reduceat(n, first))], ["lang", "gram", "n"])
 
     counts = train.join(sizes, "lang").where(drawn).select("lang", "text").mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     w = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")

@@ -124,7 +124,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, bi
 
 
 def document_features(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``keep`` columns and ``x``, the array of statistics of each row's whole text."""
+    """``keep`` columns and ``x``, the array of statistics of each row's whole text; all zero for null and empty texts."""
 
     @F.pandas_udf("array<double>")
     def udf(texts: pd.Series) -> pd.Series:
@@ -136,13 +136,14 @@ def document_features(docs: DataFrame, text_col: str = "text", keep: tuple[str,
 def train(docs: DataFrame, labels: DataFrame, where, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = TRAIN_ROWS) -> Trees:
     """Fit on the labelled rows for which ``where`` holds, drawn by the hash of their id to about ``rows``.
 
-    Rows without a label or an id are left out; without any, the score is one half for every text. Only
+    Rows without a label or an id are left out, of several labels of one id the largest counts; without any row the
+    score is one half for every text. Repeated rows count as often as they stand there. Only
     the statistics and labels of the sample reach the driver, in row order of the id.
     """
     y = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(where(F.col("id")))
     n = y.count()
     share = min(1.0, rows / max(n, 1))
-    y = y.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30)).dropDuplicates(["id"])
+    y = y.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30)).groupBy("id").agg(F.max("y").alias("y"))
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     d = d.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30)).where(where(F.col("id")))
     got = document_features(d, "text", ("id",)).join(F.broadcast(y), "id").select("id", "x", "y").toArrow()  # y: about ``rows`` rows
@@ -152,7 +153,10 @@ def train(docs: DataFrame, labels: DataFrame, where, id_col: str = "doc_id", tex
 
 
 def score(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_col: str = "text", threshold: float = PASS) -> DataFrame:
-    """One row per input row: id, ``score`` and ``predicted`` (1 from ``threshold`` on); null counts as empty."""
+    """One row per input row: id, ``score`` and ``predicted`` (1 from ``threshold`` on).
+
+    Null and empty texts have all statistics zero and are scored like any other; repeated rows alike; no rows give none.
+    """
     kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

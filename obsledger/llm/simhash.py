@@ -240,7 +240,7 @@ def near_links(nodes: DataFrame, distance: int = 3, group: int = GROUP, direct:
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(node, low, shingles): the distinct word shingles of each row's whole text as 32-bit hashes."""
+    """(node, shingles): the distinct word shingles of each row's whole text as 32-bit hashes."""
 
     def run(batches):
         for batch in batches:
@@ -249,18 +249,18 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
                 words = text.lower().split()
                 k = min(width, len(words))
                 sets.append(sorted({xxhash.xxh32_intdigest(b" ".join(words[i : i + k])) - (1 << 31) for i in range(len(words) - k + 1)}) if words else [])
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("low"), pa.array(sets, pa.list_(pa.int32()))], ["node", "low", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int32()))], ["node", "shingles"])
 
-    return docs.select("node", "low", "text").mapInArrow(run, "node long, low binary, shingles array<int>")
+    return docs.select("node", "text").mapInArrow(run, "node long, shingles array<int>")
 
 
 def sets_of(links: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """(node, low, shingles) of the nodes of ``links``, from the row that stands for each."""
     used = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    reps = stage(used.join(nodes, "node").select("node", "low", F.col("least.row").alias("row")), "simhash-reps")
+    reps = stage(used.join(nodes, "node").select("node", F.col("least.row").alias("row")), "simhash-reps")
     texts = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"), as_bytes(text_col).alias("text"))
     texts = texts.join(F.broadcast(reps), "row") if reps.count() <= BROADCAST_ROWS else texts.where(maybe_in(reps, "row")).join(reps, "row")
-    return stage(shingle_sets(texts, width).dropDuplicates(["node"]), "simhash-shingles")
+    return stage(shingle_sets(texts, width).dropDuplicates(["node"]).join(nodes.select("node", "low"), "node"), "simhash-shingles")
 
 
 def verified(links: DataFrame, sets: DataFrame, share: float) -> DataFrame:

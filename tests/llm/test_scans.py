@@ -22,7 +22,7 @@ def frame(spark, rows):
 
 LICENSE_ROWS = [
     *ODD, (10, "GNU General Public License general public license"), (11, "all rights, reserved all rights reserved."), (12, "ccby cc\x00by CC　by"), (13, "Licensed under the Apache License, Version 2.0."),
-    (14, "licensed by the apache"), (15, "Licensed under CC BY-NC 4.0."),
+    (14, "licensed by the apache"), (16, licenses.TEMPLATES["mit-text"][0].replace("furnished", "given").replace("portions", "parts").capitalize()), (17, "x " * 50_000 + licenses.TEMPLATES["zlib"][0]), (15, "Licensed under CC BY-NC 4.0."),
 ]
 
 
@@ -37,6 +37,7 @@ def test_licenses_match_brute_force(spark):
         assert {label for _, label in places} <= set(got[i].labels)
     assert got[13].labels == {"apache-2.0": 1.0} and got[14].labels == {}
     assert set(got[15].labels) == {"cc-by", "cc-by-nc-4.0"}
+    assert set(got[16].labels) == {"mit-text"} and 0.9 < got[16].labels["mit-text"] < 1 and got[17].labels == {"zlib": 1.0}
     assert licenses.scan_licenses(frame(spark, [])).count() == 0
 
 
@@ -113,13 +114,13 @@ def test_languages_on_held_out_rows(spark):
 
 
 def brute_grams(text):
-    c = [1 + ord(x.lower()) % 509 if x.isalpha() else 0 for x in " " + text + " "]
+    c = [1 + ord(x.lower()) % langid._CLASSES if x.isalpha() else 0 for x in " " + text + " "]
     out = {}
     for n, tag in ((1, 2), (2, 1), (3, 0)):
         for k in range(len(c) - n + 1):
             g = c[k : k + n]
             if (n == 1 and g[0]) or (n == 2 and any(g)) or (n == 3 and g[1]):
-                code = tag << 27 | sum(x << 9 * (n - 1 - j) for j, x in enumerate(g))
+                code = tag << langid._LETTERS | sum(x << langid._BITS * (n - 1 - j) for j, x in enumerate(g))
                 out[code] = out.get(code, 0) + 1
     return out
 
@@ -131,10 +132,31 @@ def test_gram_counts_whole_and_in_pieces(monkeypatch):
         key, n = langid.gram_counts(texts)
         got = [{} for _ in texts]
         for k, v in zip(key.tolist(), n.tolist(), strict=True):
-            got[k >> 29][k & ((1 << 29) - 1)] = v
+            got[k >> langid._GRAM][k & langid._MASK] = v
         assert got == [brute_grams(t) if t else {} for t in texts]
 
 
+def test_predictions_match_brute_force_distance():
+    rng = np.random.default_rng(9)
+    profiles = {x: np.array(list(brute_grams(" ".join(rng.choice(words, 80))).keys())[:60], np.int64) for x, words in (("aa", ["the", "nation", "with"]), ("bb", ["der", "nicht", "ist"]), ("cc", ["日本", "東京", "大阪"]))}
+    texts = [" ".join(rng.choice(["the", "der", "nicht", "nation", "日本", "大阪", "Zug"], int(rng.integers(1, 30)))) for _ in range(600)] + ["the " * 70_000, "12", None]
+    lang, score = langid.predict(texts, profiles, 60)
+    for t, x, s in zip(texts, lang, score.tolist(), strict=True):
+        ranked = sorted(brute_grams(t or "").items(), key=lambda g: (-g[1], g[0]))[:60]
+        cost = sorted((sum(abs(list(p).index(g) - k) if g in p else 60 for k, (g, _) in enumerate(ranked)), name) for name, p in profiles.items())
+        if not ranked:
+            assert (x, s) == ("und", 0.0)
+        else:
+            assert x == cost[0][1] and abs(s - (cost[1][0] - cost[0][0]) / max(cost[1][0], 1)) < 1e-12
+
+
+def test_ranks_of_large_counts():
+    text = "ab " * 70_000 + "c"
+    doc, gram, rank = langid.ranked([text, "x"])
+    want = [g for g, _ in sorted(brute_grams(text).items(), key=lambda g: (-g[1], g[0]))]
+    assert gram[doc == 0].tolist() == want and rank[doc == 0].tolist() == list(range(len(want)))
+
+
 def test_quality_learns_and_scores(spark):
     rng = np.random.default_rng(7)
     good = [" ".join(rng.choice(["plain", "words", "of", "prose"], 40)) for _ in range(150)]

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import commerce, documents, golden, golden_records, observation, records
+from . import commerce, documents, golden, golden_records, observation, records, workbooks
 
-FAMILIES = (observation, commerce, documents, golden, golden_records, records)
+FAMILIES = (observation, commerce, documents, golden, golden_records, records, workbooks)
 
 
 def queries() -> dict[str, Callable]:

@@ -81,8 +81,14 @@ class xlsx_rows:  # noqa: N801
         yield from sheets(bytes(content))
 
 
+def read_workbooks(spark, path: str):
+    """(path, sheet, row_no, cells) of all workbooks that ``path`` matches, on any storage that Spark reads."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.lateralJoin(xlsx_rows(F.col("content").outer())).drop("content")
+
+
 class XlsxSource(DataSource):
-    """For workbooks on a path that every executor mounts; elsewhere use ``binaryFile`` with :class:`xlsx_rows`."""
+    """For workbooks on a path that every executor mounts; :func:`read_workbooks` reads from any storage."""
 
     @classmethod
     def name(cls):

@@ -31,7 +31,7 @@ def test_workbook(spark, tmp_path):
     spark.dataSource.register(xlsx.XlsxSource)
     got = spark.read.format("xlsx").load(str(tmp_path / "*.xlsx")).orderBy("row_no").collect()
     assert [(r.sheet, r.row_no, r.cells) for r in got] == want
-    binary = spark.read.format("binaryFile").load(str(tmp_path)).lateralJoin(xlsx.xlsx_rows(F.col("content").outer()))
+    binary = xlsx.read_workbooks(spark, str(tmp_path))
     assert [(r.sheet, r.row_no, r.cells) for r in binary.orderBy("row_no").collect()] == want
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Largest filter of marked rows, in bits (32 MiB), and bits spent on each.
 MAX_BITS, BITS_PER_ROW = 1 << 28, 16
+#: Tables staged in each open :func:`scratch`, the innermost last.
+_SCRATCH: list[list[DataFrame]] = []
 #: ``\s`` of the contracts: space and \x09-\x0D, nothing else.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -37,9 +40,34 @@ def stage(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     (df.write.partitionBy(by) if by else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
+    if _SCRATCH:
+        _SCRATCH[-1].append(out)
     return out
 
 
+@contextmanager
+def scratch():
+    """Tables staged inside are deleted at the end, save those passed to the function that it gives: once what
+    follows from them is written itself, nothing reads them again."""
+    own: list[DataFrame] = []
+    kept: list[DataFrame] = []
+    _SCRATCH.append(own)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _SCRATCH.pop()
+        for df in own:
+            if not any(df is k for k in kept):
+                drop_staged(df)
+            elif _SCRATCH:
+                _SCRATCH[-1].append(df)
+
+
 def drop_staged(df: DataFrame | None) -> None:
     """Delete a staged table that no later step reads."""
     path = getattr(df, "_staged_path", None)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import scratch, stage
 
 #: Words of a window, the share of an item's windows that a leak needs, plain words that a window needs.
 WIDTH, SHARE, PLAIN = 5, 0.8, 3
@@ -188,7 +188,8 @@ def drop_leaked(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_
 
     Rows with a null id or text are judged like any other (null text leaks nothing); repeated rows stay or go together.
     """
-    rows = stage(find_leaks(docs, bench, id_col, text_col, **options).select("row").distinct(), "leaked-rows")
+    with scratch() as keep:
+        rows = keep(stage(find_leaks(docs, bench, id_col, text_col, **options).select("row").distinct(), "leaked-rows"))
     side = _small(rows.withColumnRenamed("row", "_leak_row")).alias("k")
     wide = docs.alias("d")
     return wide.join(side, F.xxhash64(F.col(f"d.`{id_col}`"), F.col(f"d.`{text_col}`")) == F.col("k._leak_row"), "left_anti")

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, join_groups, maybe_in, stage
+from .common import SPACE, join_groups, maybe_in, scratch, stage
 
 #: Largest filter, in bits (32 MiB), and bits spent on each text.
 MAX_BITS = 1 << 28
@@ -114,15 +114,16 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     no group meets in one task; every other row passes through the scan. Of rows alike in id and text the one of
     least hash over all columns stays. Other cases as in :func:`exact_dedup`.
     """
-    keys = _keys(docs, id_col, text_col)
-    n = keys.count()
-    several = None
-    for part in _flagged(keys, n, max_bits):
-        some = part.where("maybe")
-        groups = _groups(some).where("group_size > 1")
-        found = join_groups(some.select("row", "sha"), groups, "sha", "group_size", n).select("row", F.col("best.row").alias("best"))
-        several = found if several is None else several.unionByName(found)
-    several = stage(several.groupBy("row").agg(F.max(F.col("row") == F.col("best")).alias("stays")), "exact-several")
+    with scratch() as keep:
+        keys = _keys(docs, id_col, text_col)
+        n = keys.count()
+        several = None
+        for part in _flagged(keys, n, max_bits):
+            some = part.where("maybe")
+            groups = _groups(some).where("group_size > 1")
+            found = join_groups(some.select("row", "sha"), groups, "sha", "group_size", n).select("row", F.col("best.row").alias("best"))
+            several = found if several is None else several.unionByName(found)
+        several = keep(stage(several.groupBy("row").agg(F.max(F.col("row") == F.col("best")).alias("stays")), "exact-several"))
     every = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     wide = docs.select(every.alias("d"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row")).withColumn("maybe", maybe_in(several, "row"))
     met = wide.where("maybe").join(several, "row", "left")

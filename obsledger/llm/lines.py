@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, join_groups, maybe_in, rows_of, stage
+from .common import as_bytes, join_groups, maybe_in, rows_of, scratch, stage
 
 #: Words that a common block needs in order to be deleted.
 BLOCK_WORDS = 10
@@ -192,7 +192,8 @@ def remove_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     not count for its identity; repeats inside one document are not deleted. Only rows with blocks shuffle their
     text, the others pass through the scan. No rows in, no rows out.
     """
-    found = stage(shared_blocks(docs, id_col, text_col, block_words), "line-blocks")
+    with scratch() as keep:
+        found = keep(stage(shared_blocks(docs, id_col, text_col, block_words), "line-blocks"))
     kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"), as_bytes(text_col).alias("text"))
     rows = rows.withColumn("maybe", maybe_in(found, "row"))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, drop_staged, join_groups, maybe_in, rows_of, stage
+from .common import as_bytes, join_groups, maybe_in, rows_of, scratch, stage
 from .graph import connected_components
 
 #: Most fingerprints that are compared with each other in one group.
@@ -342,15 +342,14 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     zero and link like any other; null ids never become a component id unless a component has no other.
     Repeated rows share their component; no rows in, no rows out.
     """
-    rows = stage(fingerprints(docs, id_col, text_col, width), "simhash-fp")
-    n = rows.count()
-    distinct = stage(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")).withColumn("node", F.col("fp")), "simhash-distinct")
-    links = stage(near_links(distinct, distance), "simhash-links")
-    roots = connected_components(links)
-    drop_staged(links)
-    linked = stage(distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-roots")
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
-    named = stage(join_groups(linked.select("fp", "root", "n"), least, "root", "members", n).select("fp", "n", "component_id"), "simhash-named")
+    with scratch() as keep:
+        rows = keep(stage(fingerprints(docs, id_col, text_col, width), "simhash-fp"))
+        n = rows.count()
+        distinct = stage(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")).withColumn("node", F.col("fp")), "simhash-distinct")
+        roots = connected_components(stage(near_links(distinct, distance), "simhash-links"))
+        linked = stage(distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-roots")
+        least = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
+        named = keep(stage(join_groups(linked.select("fp", "root", "n"), least, "root", "members", n).select("fp", "n", "component_id"), "simhash-named"))
     found = join_groups(rows, named, "fp", "n", n)
     return found.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
@@ -363,21 +362,22 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Rows alike in id and text are one document: they stay or go together. Only rows that may go shuffle their text.
     No rows in, no rows out.
     """
-    rows = stage(signatures(docs, id_col, text_col, width).withColumn("node", F.xxhash64("fp", "own")), "simhash-signatures")
-    least = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row")).alias("least")
-    distinct = stage(rows.groupBy("node", "fp").agg(least, F.min_by("bands", "row").alias("bands"), F.min_by("low", "row").alias("low")), "simhash-distinct")
-    nearest = stage(near_links(distinct, distance, direct=True), "simhash-candidates")
-    band_rows = distinct.count() * BANDS
-    stars, groups = band_links(distinct, band_rows)
-    both = stage(nearest.unionByName(stars).distinct(), "simhash-pairs")
-    sets = sets_of(both, distinct, docs, id_col, text_col, width)
-    links = stage(verified(both, sets, share), "simhash-nearest")
-    roots = stage(connected_components(links), "simhash-nearest-roots")
-    links = stage(links.unionByName(rest_of_bands(groups, distinct, sets, roots, share, band_rows)), "simhash-links")
-    roots = connected_components(links)
-    linked = distinct.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    keep = linked.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row"))
-    gone = stage(rows.select("row").distinct().join(keep, "row", "left_anti"), "simhash-gone")
+    with scratch() as keep:
+        rows = stage(signatures(docs, id_col, text_col, width).withColumn("node", F.xxhash64("fp", "own")), "simhash-signatures")
+        least = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row")).alias("least")
+        distinct = stage(rows.groupBy("node", "fp").agg(least, F.min_by("bands", "row").alias("bands"), F.min_by("low", "row").alias("low")), "simhash-distinct")
+        nearest = stage(near_links(distinct, distance, direct=True), "simhash-candidates")
+        band_rows = distinct.count() * BANDS
+        stars, groups = band_links(distinct, band_rows)
+        both = stage(nearest.unionByName(stars).distinct(), "simhash-pairs")
+        sets = sets_of(both, distinct, docs, id_col, text_col, width)
+        links = stage(verified(both, sets, share), "simhash-nearest")
+        roots = stage(connected_components(links), "simhash-nearest-roots")
+        links = stage(links.unionByName(rest_of_bands(groups, distinct, sets, roots, share, band_rows)), "simhash-links")
+        roots = connected_components(links)
+        linked = distinct.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        stay = linked.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row"))
+        gone = keep(stage(rows.select("row").distinct().join(stay, "row", "left_anti"), "simhash-gone"))
     wide = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row")).withColumn("maybe", maybe_in(gone, "row"))
     kept = wide.where(~F.col("maybe")).select("d").unionByName(wide.where("maybe").join(gone, "row", "left_anti").select("d"))
     return kept.select(*(F.col(f"d.`{c}`") for c in docs.columns))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsledger.llm import decontaminate, exact_dedup, langid, packing, simhash
-from obsledger.llm.common import stage
+from obsledger.llm.common import drop_staged, scratch, stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,5 +61,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch() as keep:
+            before, docs = docs, keep(stage(step(spark, docs, sf_dir), f"pipeline-{name}"))
+        drop_staged(before)  # written on: nothing reads it again
     return STAGES[-1][1](spark, docs, sf_dir)

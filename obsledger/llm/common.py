@@ -105,23 +105,36 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return rows.join(hot, key).unionByName(rest.join(few, key))
 
 
-def maybe_in(marks: DataFrame, *cols: str, max_bits: int = MAX_BITS) -> Column:
-    """Whether a row's ``cols`` may be among those of ``marks`` (a staged table): a bitmap of fixed largest size; false only if they are not."""
+def bitmap_of(marks: DataFrame, *cols: str, max_bits: int = MAX_BITS):
+    """The slot of a row's ``cols`` and a broadcast bitmap, of fixed largest size, of the slots that ``marks`` (a staged table) has."""
     bits = min(max_bits, max(1 << 16, 1 << int(np.ceil(np.log2(max(1, marks.count() * BITS_PER_ROW))))))
     slot = F.pmod(F.xxhash64(*cols), F.lit(bits))
     hit = marks.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(slot & 63))")).alias("set")).toArrow()
     words = np.zeros(bits // 64, np.int64)
     words[hit["word"].to_numpy()] = hit["set"].to_numpy()
-    shared = marks.sparkSession.sparkContext.broadcast(words.tobytes())
+    return slot, marks.sparkSession.sparkContext.broadcast(words.tobytes())
+
+
+def in_bitmap(bitmap: bytes, at: np.ndarray) -> np.ndarray:
+    """Which of the slots ``at`` are set."""
+    return ((np.frombuffer(bitmap, np.uint8)[at >> 3] >> (at & 7)) & 1).astype(bool)
+
+
+def maybe_of(slot: Column, shared) -> Column:
+    """Whether a row's slot is set in the broadcast bitmap."""
 
     @F.pandas_udf("boolean")
     def test(at: pd.Series) -> pd.Series:
-        at = at.to_numpy(np.int64)
-        return pd.Series(((np.frombuffer(shared.value, np.uint8)[at >> 3] >> (at & 7)) & 1).astype(bool))
+        return pd.Series(in_bitmap(shared.value, at.to_numpy(np.int64)))
 
     return test(slot)
 
 
+def maybe_in(marks: DataFrame, *cols: str, max_bits: int = MAX_BITS) -> Column:
+    """Whether a row's ``cols`` may be among those of ``marks`` (a staged table); false only if they are not."""
+    return maybe_of(*bitmap_of(marks, *cols, max_bits=max_bits))
+
+
 def order_id(name: str) -> list[Column]:
     """Ids in ascending order, null after all others."""
     return [F.col(name).isNull(), F.col(name)]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from .common import as_bytes, maybe_in, rows_of, stage
+from .common import as_bytes, bitmap_of, in_bitmap, maybe_of, rows_of, stage
 
 #: Words of a window, words of a minimiser.
 WIDTH, M = 20, 4
@@ -339,9 +339,14 @@ def _applied(docs, id_col, text_col, width, make, column, kind) -> DataFrame:
     marks = stage(repeated_windows(docs, id_col, text_col, width), "substring-marks")
     id_type = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"), _row(text_col), as_bytes(text_col).alias("text"))
-    rows = rows.withColumn("maybe", maybe_in(marks, "doc", "row"))
-    whole = rows.where(~F.col("maybe")).select("id", "text", F.lit(None).cast("array<binary>").alias("parts"))
-    both = rows.where("maybe").join(marks, ["doc", "row"], "left").select("id", "text", "parts")
+    slot, shared = bitmap_of(marks, "doc", "row")
+    whole = rows.select("id", "text", slot.alias("slot"))
+    both = rows.where(maybe_of(slot, shared)).join(marks, ["doc", "row"], "left").select("id", "text", "parts")
+
+    def unmarked(batches):  # the test and the work in one worker, for memory
+        for batch in batches:
+            own = batch.filter(pa.array(~in_bitmap(shared.value, batch.column("slot").to_numpy())))
+            yield from run([pa.RecordBatch.from_arrays([own.column("id"), own.column("text"), pa.nulls(own.num_rows, pa.list_(pa.binary()))], ["id", "text", "parts"])])
 
     def run(batches):
         for batch in batches:
@@ -357,4 +362,4 @@ def _applied(docs, id_col, text_col, width, make, column, kind) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(made, kind)], ["id", "n_words", "n_removed", column.split()[0]])
 
     schema = f"id {id_type}, n_words long, n_removed long, {column}"
-    return whole.mapInArrow(run, schema).unionByName(both.mapInArrow(run, schema)).withColumnRenamed("id", id_col)
+    return whole.mapInArrow(unmarked, schema).unionByName(both.mapInArrow(run, schema)).withColumnRenamed("id", id_col)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,14 +14,18 @@ def xml_text(s: Column) -> Column:
 
 
 def sitemap(pages: DataFrame, host: str, per_file: int = 50_000, daily: bool = False) -> DataFrame:
-    """(file, body): sitemaps of ``pages`` (url), at most ``per_file`` entries each, by the hash of the address; no dates,
-    since none is known. ``daily`` says of the first page that it changes every day."""
-    n = max(1, -(-pages.count() * 5 // (per_file * 4)))  # a quarter of room, since hashes do not fall evenly
-    own = pages.select("url").distinct().withColumn("file", F.pmod(F.xxhash64("url"), F.lit(n)))
-    lines = F.array_join(F.array_sort(F.collect_list(F.concat(F.lit(f"<url><loc>{host}"), xml_text(F.col("url")), F.lit("</loc></url>")))), "\n")
-    first = F.when(F.col("file") == 0, f"<url><loc>{host}</loc>{'<changefreq>daily</changefreq>' if daily else ''}</url>\n").otherwise("")
+    """(file, body): sitemaps of ``pages`` (url), at most ``per_file`` entries each, the host's own among them; every address
+    once, null ones left out; no dates, since none is known. ``daily`` says of the host that it changes every day."""
+    n = max(1, -(-pages.count() * 5 // (per_file * 4)))  # slots, a quarter of room, since hashes do not fall evenly; a fuller one makes further files
+    entry = F.concat(F.lit(f"<url><loc>{host}"), xml_text(F.col("url")), F.lit("</loc></url>"))
+    own = pages.select("url").where("url IS NOT NULL").distinct().select(F.pmod(F.xxhash64("url"), F.lit(n)).alias("slot"), F.lit(1).alias("rank"), entry.alias("line"))
+    first = F.lit(f"<url><loc>{host}</loc>{'<changefreq>daily</changefreq>' if daily else ''}</url>")
+    rows = own.unionByName(pages.sparkSession.range(1).select(F.col("id").alias("slot"), F.lit(0).alias("rank"), first.alias("line")))
+    place = F.row_number().over(Window.partitionBy("slot").orderBy("rank", "line"))
+    files = rows.withColumn("part", F.floor((place - 1) / per_file)).groupBy("slot", "part").agg(F.array_sort(F.collect_list(F.struct("rank", "line"))).alias("lines"))
     head = '<?xml version="1.0" encoding="UTF-8"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">\n'
-    return own.groupBy("file").agg(lines.alias("lines")).select("file", F.concat(F.lit(head), first, "lines", F.lit("\n</urlset>\n")).alias("body"))
+    body = F.concat(F.lit(head), F.array_join(F.col("lines")["line"], "\n"), F.lit("\n</urlset>\n"))
+    return files.select((F.col("slot") + F.col("part") * n).alias("file"), body.alias("body"))
 
 
 def robots_text(rules: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
 """Sheets, workbooks, PDFs, archives and markdown against small hand-made files."""
 
 import io
+import re
 import zipfile
 import zlib
 
 from pyspark.sql import functions as F
 
 from obsledger.functions import text
+from obsledger.plans import records
 from obsledger.sources import html_tables, pdf, scans, sheets, sinks, xlsx
 
 MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -146,3 +148,25 @@ def test_archive_and_rebuild(spark, tmp_path):
     assert {tuple(r) for r in got} == {("1", "一!"), ("2", "三!")}
     rules = spark.createDataFrame([("*", False, "/p"), ("*", True, "/p/open")], "agent string, allow boolean, path string")
     assert sinks.robots_text(rules).first().body == "User-agent: *\nAllow: /p/open\nDisallow: /p"
+
+
+def test_sitemap_holds_every_address(spark):
+    pages = spark.range(500).select(F.concat(F.lit("/p/"), "id", F.lit("?a=1&b='2'")).alias("url"))
+    odd = pages.unionByName(pages.limit(3)).unionByName(spark.createDataFrame([(None,)], "url string"))
+    want = sorted([f"http://a.example/p/{k}?a=1&amp;b=&#x27;2&#x27;" for k in range(500)] + ["http://a.example"])
+    for given, per_file in ((pages, 7), (pages, 1), (odd, 7), (pages, 700)):
+        files = sinks.sitemap(given, "http://a.example", per_file).collect()
+        found = [re.findall("<url><loc>([^<]*)</loc></url>", r.body) for r in files]
+        assert sorted(x for f in found for x in f) == want
+        assert max(map(len, found)) <= per_file and len({r.file for r in files}) == len(files)
+        assert [f[0] for r, f in zip(files, found) if r.file == 0] == ["http://a.example"]
+    assert len(files) == 1
+    head = '<?xml version="1.0" encoding="UTF-8"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">\n<url><loc>h</loc><changefreq>daily</changefreq></url>\n'
+    assert [tuple(r) for r in sinks.sitemap(pages.limit(0), "h", daily=True).collect()] == [(0, head + "</urlset>\n")]
+    assert sinks.sitemap(pages.where("url LIKE '/p/1?%'"), "h", daily=True).first().body == head + "<url><loc>h/p/1?a=1&amp;b=&#x27;2&#x27;</loc></url>\n</urlset>\n"
+
+
+def test_sitemap_query_on_a_larger_table(spark, tmp_path):
+    spark.range(120_000).select(F.col("id").alias("p_partkey")).write.parquet(str(tmp_path / "part.parquet"))
+    got = [r.loc for r in records.sitemap_files(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(f"http://a.example/p/{k}?a=1&amp;b=2" for k in range(120_000))
